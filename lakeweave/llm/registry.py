@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import bpe, exact_dedup, mixing, sharding, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op4_mixing": mixing.op4_mixing,
+        "op5_token_counts": token_counts.op5_token_counts,
+        "op9_bpe": bpe.op9_bpe,
         "op7_sharding": sharding.op7_sharding,
     }
 
