@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, sharding, token_counts
+from . import bpe, exact_dedup, mixing, sharding, token_counts, url_filter
 
 
 def queries() -> dict:
@@ -11,9 +11,10 @@ def queries() -> dict:
         "op4_mixing": mixing.op4_mixing,
         "op5_token_counts": token_counts.op5_token_counts,
         "op9_bpe": bpe.op9_bpe,
+        "op10_url_filter": url_filter.op10_url_filter,
         "op7_sharding": sharding.op7_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.SQL}
+    return {"op1_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL}
