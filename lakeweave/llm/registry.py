@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, sharding, token_counts, url_filter
+from . import bpe, exact_dedup, mixing, sharding, token_counts, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_token_counts": token_counts.op5_token_counts,
         "op9_bpe": bpe.op9_bpe,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_sharding": sharding.op7_sharding,
     }
 

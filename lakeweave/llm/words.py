@@ -90,7 +90,7 @@ class Words:
     def __init__(self, offsets: np.ndarray, data: np.ndarray, a: int, b: int, powers: _Powers) -> None:
         o = (offsets[a : b + 1] - offsets[a]).astype(np.int64)
         d = data[offsets[a] : offsets[b]]
-        self.rows = b - a
+        self.rows, self.bytes, self.offsets = b - a, d, o
         word = ~_SPACE[d]
         edge = np.zeros(len(d) + 1, bool)
         edge[o] = True  # texts touch each other in the buffer
@@ -98,15 +98,20 @@ class Words:
         start[1:] &= ~word[:-1] | edge[1 : len(d)]
         stop[:-1] &= ~word[1:] | edge[1 : len(d)]
         s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
-        up, down = powers.upto(len(d))
-        sums = np.zeros(len(d) + 1, np.uint64)
+        up, self._down = powers.upto(len(d))
+        self._sums = np.zeros(len(d) + 1, np.uint64)
         with np.errstate(over="ignore"):
-            np.cumsum(_BYTE[_LOWER[d]] * up[: len(d)], out=sums[1:])
-            self.hash = mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+            np.cumsum(_BYTE[_LOWER[d]] * up[: len(d)], out=self._sums[1:])
+        self.hash = self.span_hash(s, e)
         self.row = np.searchsorted(o, s, "right") - 1
         self.first = np.searchsorted(self.row, np.arange(self.rows + 1))
         self.start, self.stop = s, e
 
+    def span_hash(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """The hash of the lower-cased bytes [s, e) of each span; that of a whole word is its ``hash``."""
+        with np.errstate(over="ignore"):
+            return mix64((self._sums[e] - self._sums[s]) * self._down[s] + (e - s).astype(np.uint64))
+
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """(first, hash): shingles of row i are hash[first[i]:first[i + 1]], repeats included.
 
