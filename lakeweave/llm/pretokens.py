@@ -9,12 +9,14 @@ import json
 import numpy as np
 import regex
 
-from .words import _BYTE, _Powers, mix64
+from .words import _BYTE, _Powers, chunks, mix64
 
 #: The pattern that is cut by (fixed value). ``cut`` follows it by rule, on bytes; see there.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts are handled in slices of at most so many bytes (a longer text alone).
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 28 << 20
+#: ... and cut in pieces of at most so many.
+_CUT_BYTES = 2 << 20
 SPACE, LETTER, NUMBER, OTHER = range(4)
 
 
@@ -142,8 +144,12 @@ class Pretokens:
                 np.add.at(self.special, np.searchsorted(o, spans[:, 0], "right") - 1, 1)
                 inner = spans[:, 1][spans[:, 1] < len(d)]
                 edges = np.union1d(edges, np.concatenate([spans[:, 0], inner]))
-        s = cut(d, edges)
-        e = np.append(s[1:], len(d))
+        parts = []
+        for a, b in chunks(o, _CUT_BYTES):
+            lo, hi = np.searchsorted(edges, [o[a], o[b]])
+            parts.append((cut(d[o[a] : o[b]], edges[lo:hi] - o[a]) + o[a]).astype(np.int32 if len(d) < 1 << 31 else np.int64))
+        s = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        e = np.append(s[1:], len(d)).astype(s.dtype)
         if taken:
             inside = np.searchsorted(spans[:, 0], s, "right") - 1
             keep = (inside < 0) | (s >= spans[np.maximum(inside, 0), 1])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, mixing, sharding, token_counts, toxicity, url_filter
+from . import ann, bpe, exact_dedup, licenses, mixing, near_dedup, sharding, token_counts, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_ann": ann.op2_ann,
+        "op8_licenses": licenses.op8_licenses,
+        "op3_near_dedup": near_dedup.op3_near_dedup,
         "op4_mixing": mixing.op4_mixing,
         "op5_token_counts": token_counts.op5_token_counts,
         "op9_bpe": bpe.op9_bpe,

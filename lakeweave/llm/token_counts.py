@@ -4,7 +4,9 @@
    (document in the slice, frequency) pairs. So a frequent pre-token costs a row for each slice, not for each occurrence.
 2. Rows are dealt by pre-token and sorted, so that equal ones stand together; the tokenizer counts each distinct one's
    pieces (their number only: no ids are kept or moved), and pieces * frequency is added up for each document.
-3. The tasks' partial sums are added up for each document.
+3. A task hands on, for each slice, the sums of its documents in one packed row; these are added up slice by slice.
+
+What moves follows the number of distinct pre-tokens in slices, and a slice's rows never need more memory than the slice.
 """
 
 from __future__ import annotations
@@ -26,55 +28,59 @@ LIMIT = 1024
 _SLICE_ROWS = 1 << 16
 #: Partial sums that a counting task holds before it hands them on.
 _HELD = 1 << 20
-_POSTINGS = pa.schema([("part", pa.int64()), ("pretoken", pa.binary()), ("base", pa.int64()), ("postings", pa.binary()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
-
-
+_POSTING = np.dtype([("doc", "<u2"), ("freq", "u1")])
+_SUM = np.dtype([("doc", "<u2"), ("n", "<u8")])
 def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     for a, b in chunks(offsets, most):
         for c in range(a, b, _SLICE_ROWS):
             yield c, min(b, c + _SLICE_ROWS)
 
 
-def _postings(p: Pretokens, first: int, sizes: np.ndarray) -> pa.RecordBatch:
-    """Rows of a slice: a row for each document, then one for each distinct pre-token. ``first``: the first document's number."""
-    n, rows = len(p.texts), len(sizes)
+def row_types(kind: T.DataType) -> tuple[T.StructType, T.StructType]:
+    """Rows of slices (part: what they are dealt by; pretoken and postings, or docs) and packed sums (or docs)."""
+    many = lambda t: T.ArrayType(t)
+    docs = T.StructType([T.StructField("id", many(kind)), T.StructField("n_bytes", many(T.LongType())), T.StructField("special", many(T.LongType()))])
+    rows = [T.StructField("part", T.IntegerType()), T.StructField("base", T.LongType()), T.StructField("pretoken", T.BinaryType()), T.StructField("postings", T.BinaryType()), T.StructField("docs", docs)]
+    return T.StructType(rows), T.StructType([T.StructField("base", T.LongType()), T.StructField("sums", T.BinaryType()), T.StructField("docs", docs)])
+
+
+def _postings(p: Pretokens) -> pa.Array:
     pair, freq = np.unique(p.which.astype(np.int64) << 16 | p.row, return_counts=True)
-    if len(freq) and freq.max() > 0xFFFF:  # more than 16 bits hold: in several postings
-        times = -(-freq // 0xFFFF)
+    if len(freq) and freq.max() > 0xFF:  # more than a byte holds: in several postings
+        times = -(-freq // 0xFF)
+        rest = freq - (times - 1) * 0xFF
         pair, last = np.repeat(pair, times), np.cumsum(times) - 1
-        rest = freq - (times - 1) * 0xFFFF
-        freq = np.full(len(pair), 0xFFFF)
+        freq = np.full(len(pair), 0xFF)
         freq[last] = rest
-    packed = np.empty((len(pair), 2), "<u2")
-    packed[:, 0], packed[:, 1] = pair & 0xFFFF, freq
-    ends = np.searchsorted(pair >> 16, np.arange(n + 1)).astype(np.int32) * 4
-    postings = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-    texts = pa.array(p.texts, pa.binary())
-    numbers = np.arange(first, first + rows)
-    key = np.concatenate([mix64(numbers.astype(np.uint64)), p.key]).view(np.int64)
-    nothing = pa.nulls(rows, pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(key), pa.concat_arrays([nothing, texts]), pa.array(np.concatenate([numbers, np.full(n, first)])), pa.concat_arrays([nothing, postings]),
-            pa.concat_arrays([pa.array(sizes), pa.nulls(n, pa.int64())]), pa.concat_arrays([pa.array(p.special), pa.nulls(n, pa.int64())]),
-        ],
-        schema=_POSTINGS,
-    )
-
-
-def _read(batches: Iterator[pa.RecordBatch], added: tuple[bytes, ...], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    packed = np.empty(len(pair), _POSTING)
+    packed["doc"], packed["freq"] = pair & 0xFFFF, freq
+    ends = np.searchsorted(pair >> 16, np.arange(len(p.texts) + 1)).astype(np.int32) * _POSTING.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(p.texts), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+
+
+def _one(values: pa.Array, schema: pa.DataType) -> pa.Array:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).cast(schema)
+
+
+def _read(batches: Iterator[pa.RecordBatch], added: tuple[bytes, ...], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    first = TaskContext.get().partitionId() << 40
+    base = TaskContext.get().partitionId() << 40  # the same again if the task is run again
+    docs = schema.field("docs").type
     for batch in batches:
         offsets, data = buffers(batch.column(1))
-        ids = batch.column(0)
         for a, b in row_slices(offsets):
             p = Pretokens(offsets[a : b + 1], data[offsets[a] : offsets[b]], added)
-            out = _postings(p, first, np.diff(offsets[a : b + 1]))
-            own = pa.concat_arrays([ids.slice(a, b - a).cast(id_type), pa.nulls(len(p.texts), id_type)])
-            first += b - a
-            yield from pa.Table.from_batches([out]).append_column("id", own).to_batches(max_chunksize=20_000)
+            own = [_one(batch.column(0).slice(a, b - a), docs.field(0).type), _one(pa.array(np.diff(offsets[a : b + 1])), docs.field(1).type), _one(pa.array(p.special), docs.field(2).type)]
+            part = int(mix64(np.array([base], np.uint64))[0] >> np.uint64(33))
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([base]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.StructArray.from_arrays(own, fields=list(docs))], schema=schema)
+            n = len(p.texts)
+            parts = (p.key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            out = pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.full(n, base)), pa.array(p.texts, pa.binary()), _postings(p), pa.nulls(n, docs)], schema=schema)
+            for i in range(0, n, 20_000):
+                yield out.slice(i, 20_000)
+            base += 1 << 16
 
 
 @functools.lru_cache(2)
@@ -90,54 +96,77 @@ def _tokenizer(spec: str):
     return found
 
 
-def _count(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
-    """Partial sums (base: the document's number, n_tokens) and, passed on, the documents' own rows."""
+def _count(batches: Iterator[pa.RecordBatch], spec: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Packed sums of pieces * frequency for each slice; rows that describe documents are passed on."""
     tokenizer = _tokenizer(spec)
+    docs = schema.field("docs").type
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    known, pieces = b"", 0
-    schema = None
+    size, known, pieces = 0, b"", 0
 
     def summed() -> tuple[np.ndarray, np.ndarray]:
         at, where = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
         return at, np.bincount(where, np.concatenate([n for _, n in held]), len(at)).astype(np.int64)
 
-    def out(at: np.ndarray, n: np.ndarray, id_type: pa.DataType) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(at), pa.array(n), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), id_type)], schema=schema)
+    def packed(at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        sums = np.empty(len(at), _SUM)
+        sums["doc"], sums["n"] = at & 0xFFFF, n
+        bases, first = np.unique(at >> 16, return_index=True)
+        ends = np.append(first, len(at)).astype(np.int32) * _SUM.itemsize
+        return pa.RecordBatch.from_arrays([pa.array(bases << 16), pa.Array.from_buffers(pa.binary(), len(bases), [None, pa.py_buffer(ends), pa.py_buffer(sums)]), pa.nulls(len(bases), docs)], schema=schema)
 
-    size = 0
     for batch in batches:
-        id_type = batch.schema.field("id").type
-        schema = pa.schema([("base", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("id", id_type)])
-        text = batch.column("pretoken")
-        own = text.is_null()
+        own = batch.column("pretoken").is_null()
         if own.true_count:
             d = batch.filter(own)
-            yield pa.RecordBatch.from_arrays([d.column(x) for x in schema.names], schema=schema)
-            batch = batch.filter(text.is_valid())
-            text = batch.column("pretoken")
-        if not len(text):
+            yield pa.RecordBatch.from_arrays([d.column("base"), pa.nulls(len(d), pa.binary()), d.column("docs")], schema=schema)
+            batch = batch.filter(batch.column("pretoken").is_valid())
+        if not len(batch):
             continue
-        coded = text.dictionary_encode()
+        coded = batch.column("pretoken").dictionary_encode()
         new = coded.dictionary.to_pylist()
-        todo = [x for x in new if x != known]  # one may have begun in the batch before
+        todo = [x for x in new if x != known]  # the first may have begun in the batch before
         found = dict(zip(todo, map(len, tokenizer.encode_batch_fast([x.decode() for x in todo], add_special_tokens=False)), strict=True))
         found.setdefault(known, pieces)
         n = np.array([found[x] for x in new], np.int64)[coded.indices.to_numpy()]
         known, pieces = new[-1], found[new[-1]]
         postings = batch.column("postings")
         ends = np.frombuffer(postings.buffers()[1], np.int32, len(postings) + 1, postings.offset * 4)
-        pairs = np.frombuffer(postings.buffers()[2], "<u2")[ends[0] // 2 : ends[-1] // 2].reshape(-1, 2)
-        times = np.diff(ends) // 4
-        held.append((np.repeat(batch.column("base").to_numpy(), times) + pairs[:, 0], np.repeat(n, times) * pairs[:, 1]))
+        pairs = np.frombuffer(postings.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(_POSTING)
+        times = np.diff(ends) // _POSTING.itemsize
+        held.append((np.repeat(batch.column("base").to_numpy(), times) + pairs["doc"], np.repeat(n, times) * pairs["freq"]))
         size += len(pairs)
         if size > 2 * _HELD:
             held = [summed()]
             size = len(held[0][0])
             if size > _HELD:
-                yield out(*held[0], id_type)
+                yield packed(*held[0])
                 held, size = [], 0
     if held:
-        yield out(*summed(), id_type)
+        yield packed(*summed())
+
+
+def _total(batches: Iterator[pa.RecordBatch], limit: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Adds up a slice's packed sums; its rows stand together, the one that describes its documents first."""
+    docs, n = None, np.zeros(0, np.int64)
+
+    def out() -> pa.RecordBatch:
+        ids, sizes, special = docs
+        total = n + special.to_numpy()
+        return pa.RecordBatch.from_arrays([ids.cast(schema.field(0).type), sizes, pa.array(total), pa.array(total > limit)], schema=schema)
+
+    for batch in batches:
+        about = batch.column("docs")
+        for i, sums in enumerate(batch.column("sums").to_pylist()):
+            if sums is None:
+                if docs is not None:
+                    yield out()
+                docs = [about.field(j)[i].values for j in range(3)]
+                n = np.zeros(len(docs[0]), np.int64)
+            else:
+                found = np.frombuffer(sums, _SUM)
+                n[found["doc"]] += found["n"].astype(np.int64)
+    if docs is not None:
+        yield out()
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
@@ -148,19 +177,19 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     and repeated ids keep a row each. An empty table gives an empty result. Other columns are not read.
     The file (a few MB) is read on the driver and sent along.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     added = tuple(x.encode() for x in added_tokens(tokenizer_path))
     kind = docs.schema[id_col].dataType
-    rows = T.StructType([T.StructField(n, t) for n, t in (("part", T.LongType()), ("pretoken", T.BinaryType()), ("base", T.LongType()), ("postings", T.BinaryType()), ("n_bytes", T.LongType()), ("n_tokens", T.LongType()), ("id", kind))])
-    sums = T.StructType([T.StructField(n, t) for n, t in (("base", T.LongType()), ("n_tokens", T.LongType()), ("n_bytes", T.LongType()), ("id", kind))])
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(kind)
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda it: _read(it, added, id_type), rows)
-    counted = read.repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _count(it, spec), sums)
-    done = counted.groupBy("base").agg(F.max("id").alias(id_col), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-    return done.select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    rows, sums = row_types(kind)
+    out = T.StructType([T.StructField(id_col, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
+    rows_schema, sums_schema, out_schema = map(to_arrow_schema, (rows, sums, out))
+    read = docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(lambda it: _read(it, added, rows_schema), rows)
+    counted = read.repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _count(it, spec, sums_schema), sums)
+    together = counted.repartition("base").sortWithinPartitions("base", F.col("sums").isNotNull())
+    return together.mapInArrow(lambda it: _total(it, limit, out_schema), out)
 
 
 def op5_token_counts(spark, sf_dir: str) -> DataFrame:
