@@ -44,6 +44,18 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that the table doesn't have in any case, made from the given ones."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        n = f"__{n}"
+        while n in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z only; texts that are plain ASCII take the built-in ``lower``."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Workspace, lower_ascii
+from .common import Workspace, fresh, lower_ascii
 
 #: Keys in a bucket: at least so many, and so many that the directory keeps to about MOST_BUCKETS entries.
 CAPACITY, MOST_BUCKETS = 2_000, 1 << 15
@@ -123,10 +123,11 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; rows that repeat id and normalised text of a kept row go too."""
-    kept = group_copies(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    own = docs.withColumn("_own", F.sha2(how.get("normalise", lower_ascii)(F.coalesce(F.col(text_col), F.lit(""))), 256))
-    met = own.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    return met.dropDuplicates([id_col, "_own"]).select(*docs.columns)
+    own, id_, sha = fresh(docs, "own", "id", "sha")
+    kept = group_copies(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias(id_), F.col("text_sha256").alias(sha)).distinct()
+    hashed = docs.withColumn(own, F.sha2(how.get("normalise", lower_ascii)(F.coalesce(F.col(text_col), F.lit(""))), 256))
+    met = hashed.join(kept, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(sha)), "left_semi")
+    return met.dropDuplicates([id_col, own]).select(*docs.columns)
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

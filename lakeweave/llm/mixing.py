@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Workspace, count_words, running_start
+from .common import Workspace, count_words, fresh, running_start
 
 WEIGHTS, SHARE, REPEATS, BLOCK_WORDS = (3, 1, 2), 1.5, 2, 1024
 #: The golden ratio less 1, and the fraction of 2**20 times it: slot numbers are split there to keep points precise.
@@ -130,12 +130,13 @@ def mixed_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows without words stay once. Rows with the same id must have the same size for their copies to be told apart; copies of
     rows that repeat an id are decided by their mean.
     """
+    own, copies, copy = fresh(docs, "id", "copies", "copy")
     decided = mix_documents(docs, id_col, text_col, source_col, **how)
-    decided = decided.groupBy(F.col(id_col).alias("_id")).agg(F.sum("size").alias("_size"), F.sum("taken").alias("_taken"))
-    copies = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size") + 0.5))
-    decided = decided.select("_id", copies.cast("int").alias("_copies")).where("_copies > 0")
-    met = docs.join(decided, F.col(id_col).eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    decided = decided.groupBy(F.col(id_col).alias(own)).agg(F.sum("size").alias("_size"), F.sum("taken").alias("_taken"))
+    times = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size") + 0.5))
+    decided = decided.select(own, times.cast("int").alias(copies)).where(F.col(copies) > 0)
+    met = docs.join(decided, F.col(id_col).eqNullSafe(F.col(own)))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, fresh
 from .components import components
 from .words import _table, shingle_sets
 
@@ -253,8 +253,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that stay: one id of each group, with all their columns."""
-    kept = near_groups(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    (own,) = fresh(docs, "kept")
+    kept = near_groups(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias(own)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:

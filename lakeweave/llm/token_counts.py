@@ -36,12 +36,19 @@ def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[i
             yield c, min(b, c + _SLICE_ROWS)
 
 
-def row_types(kind: T.DataType) -> tuple[T.StructType, T.StructType]:
-    """Rows of slices (part: what they are dealt by; pretoken and postings, or docs) and packed sums (or docs)."""
-    many = lambda t: T.ArrayType(t)
-    docs = T.StructType([T.StructField("id", many(kind)), T.StructField("n_bytes", many(T.LongType())), T.StructField("special", many(T.LongType()))])
-    rows = [T.StructField("part", T.IntegerType()), T.StructField("base", T.LongType()), T.StructField("pretoken", T.BinaryType()), T.StructField("postings", T.BinaryType()), T.StructField("docs", docs)]
-    return T.StructType(rows), T.StructType([T.StructField("base", T.LongType()), T.StructField("sums", T.BinaryType()), T.StructField("docs", docs)])
+#: Rows of slices (part: what they are dealt by; pretoken and postings, or docs: an Arrow stream of id, n_bytes and special)
+#: and packed sums (or docs). Docs is one binary column, as nulls in nested ones cost the JVM quadratic time.
+ROWS = "part int, base long, pretoken binary, postings binary, docs binary"
+SUMS = "base long, sums binary, docs binary"
+_ROWS = pa.schema([("part", pa.int32()), ("base", pa.int64()), ("pretoken", pa.binary()), ("postings", pa.binary()), ("docs", pa.binary())])
+_SUMS = pa.schema([("base", pa.int64()), ("sums", pa.binary()), ("docs", pa.binary())])
+
+
+def _stream(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _postings(p: Pretokens) -> pa.Array:
@@ -58,26 +65,20 @@ def _postings(p: Pretokens) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(p.texts), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
 
 
-def _one(values: pa.Array, schema: pa.DataType) -> pa.Array:
-    """A list column of one row."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values).cast(schema)
-
-
-def _read(batches: Iterator[pa.RecordBatch], added: tuple[bytes, ...], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], added: tuple[bytes, ...]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     base = TaskContext.get().partitionId() << 40  # the same again if the task is run again
-    docs = schema.field("docs").type
     for batch in batches:
         offsets, data = buffers(batch.column(1))
         for a, b in row_slices(offsets):
             p = Pretokens(offsets[a : b + 1], data[offsets[a] : offsets[b]], added)
-            own = [_one(batch.column(0).slice(a, b - a), docs.field(0).type), _one(pa.array(np.diff(offsets[a : b + 1])), docs.field(1).type), _one(pa.array(p.special), docs.field(2).type)]
+            own = pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(offsets[a : b + 1])), pa.array(p.special)], names=["id", "n_bytes", "special"])
             part = int(mix64(np.array([base], np.uint64))[0] >> np.uint64(33))
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([base]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.StructArray.from_arrays(own, fields=list(docs))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([base]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([_stream(own)], pa.binary())], schema=_ROWS)
             n = len(p.texts)
             parts = (p.key >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            out = pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.full(n, base)), pa.array(p.texts, pa.binary()), _postings(p), pa.nulls(n, docs)], schema=schema)
+            out = pa.RecordBatch.from_arrays([pa.array(parts), pa.array(np.full(n, base)), pa.array(p.texts, pa.binary()), _postings(p), pa.nulls(n, pa.binary())], schema=_ROWS)
             for i in range(0, n, 20_000):
                 yield out.slice(i, 20_000)
             base += 1 << 16
@@ -96,10 +97,9 @@ def _tokenizer(spec: str):
     return found
 
 
-def _count(batches: Iterator[pa.RecordBatch], spec: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """Packed sums of pieces * frequency for each slice; rows that describe documents are passed on."""
     tokenizer = _tokenizer(spec)
-    docs = schema.field("docs").type
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size, known, pieces = 0, b"", 0
 
@@ -112,13 +112,13 @@ def _count(batches: Iterator[pa.RecordBatch], spec: str, schema: pa.Schema) -> I
         sums["doc"], sums["n"] = at & 0xFFFF, n
         bases, first = np.unique(at >> 16, return_index=True)
         ends = np.append(first, len(at)).astype(np.int32) * _SUM.itemsize
-        return pa.RecordBatch.from_arrays([pa.array(bases << 16), pa.Array.from_buffers(pa.binary(), len(bases), [None, pa.py_buffer(ends), pa.py_buffer(sums)]), pa.nulls(len(bases), docs)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(bases << 16), pa.Array.from_buffers(pa.binary(), len(bases), [None, pa.py_buffer(ends), pa.py_buffer(sums)]), pa.nulls(len(bases), pa.binary())], schema=_SUMS)
 
     for batch in batches:
         own = batch.column("pretoken").is_null()
         if own.true_count:
             d = batch.filter(own)
-            yield pa.RecordBatch.from_arrays([d.column("base"), pa.nulls(len(d), pa.binary()), d.column("docs")], schema=schema)
+            yield pa.RecordBatch.from_arrays([d.column("base"), pa.nulls(len(d), pa.binary()), d.column("docs")], schema=_SUMS)
             batch = batch.filter(batch.column("pretoken").is_valid())
         if not len(batch):
             continue
@@ -160,7 +160,8 @@ def _total(batches: Iterator[pa.RecordBatch], limit: int, schema: pa.Schema) ->
             if sums is None:
                 if docs is not None:
                     yield out()
-                docs = [about.field(j)[i].values for j in range(3)]
+                docs = pa.ipc.open_stream(about[i].as_py()).read_all().combine_chunks().columns
+                docs = [c.chunk(0) if c.num_chunks else pa.nulls(0, c.type) for c in docs]
                 n = np.zeros(len(docs[0]), np.int64)
             else:
                 found = np.frombuffer(sums, _SUM)
@@ -183,11 +184,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
         spec = f.read()
     added = tuple(x.encode() for x in added_tokens(tokenizer_path))
     kind = docs.schema[id_col].dataType
-    rows, sums = row_types(kind)
     out = T.StructType([T.StructField(id_col, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
-    rows_schema, sums_schema, out_schema = map(to_arrow_schema, (rows, sums, out))
-    read = docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(lambda it: _read(it, added, rows_schema), rows)
-    counted = read.repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _count(it, spec, sums_schema), sums)
+    out_schema = to_arrow_schema(out)
+    read = docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(lambda it: _read(it, added), ROWS)
+    counted = read.repartition("part").sortWithinPartitions("part").mapInArrow(lambda it: _count(it, spec), SUMS)
     together = counted.repartition("base").sortWithinPartitions("base", F.col("sums").isNotNull())
     return together.mapInArrow(lambda it: _total(it, limit, out_schema), out)
 
