@@ -59,7 +59,7 @@ def labelled():
 
 def test_toxicity(spark):
     data = labelled()
-    docs = table(spark, [x[:3] for x in data] + rows()[40:])
+    docs = table(spark, [x[:3] for x in data] + [(i and i + 1000, *x) for i, *x in rows()[40:]])
     labels = spark.createDataFrame([(i, 1, y) for i, _, _, y in data if i < 400] + [(9999, 1, 1), (5, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(spark, docs, labels)
     got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}

@@ -42,16 +42,16 @@ def test_specs():
 
 
 def test_hash_vectors(spark):
-    # published vectors of the table format's specification
-    assert hash_bytes(b"iceberg") == 1210000089 and hash_bytes(bytes([0, 1, 2, 3])) == -188683207
-    row = spark.sql("SELECT 34 AS i, 34L AS l, DATE '2017-11-16' AS d, TIMESTAMP '2017-11-16 22:31:08 UTC' AS t, 'iceberg' AS s, CAST(14.20 AS DECIMAL(9,2)) AS n, CAST(NULL AS INT) AS z")
+    # published vectors of murmur3 with seed 0
+    assert hash_bytes(b"hello") == 613153351 and hash_bytes(b"hello, world") == 345750399 and hash_bytes(bytes([0, 1, 2, 3])) == -188683207
+    row = spark.sql("SELECT 34 AS i, 34L AS l, DATE '2017-11-16' AS d, TIMESTAMP '2017-11-16 22:31:08 UTC' AS t, 'hello' AS s, CAST(14.20 AS DECIMAL(9,2)) AS n, CAST(NULL AS INT) AS z")
     got = row.select(*[murmur3(F.col(c), row.schema[c].dataType).alias(c) for c in row.columns]).first()
-    assert tuple(got) == (2017239379, 2017239379, -653330422, -2047944441, 1210000089, -500754589, None)
+    assert tuple(got) == (2017239379, 2017239379, -653330422, -2047944441, 613153351, -500754589, None)
 
 
 def test_values(spark):
-    df = spark.createDataFrame([(-1, Decimal("10.65"), "iceberg", dt.datetime(1969, 12, 31, 23), dt.date(1969, 12, 31)), (None, None, None, None, None)], "i int, d decimal(9,2), s string, t timestamp_ntz, day date")
+    df = spark.createDataFrame([(-1, Decimal("10.65"), "glacier", dt.datetime(1969, 12, 31, 23), dt.date(1969, 12, 31)), (None, None, None, None, None)], "i int, d decimal(9,2), s string, t timestamp_ntz, day date")
     ts = [p.truncate(10, "i"), p.truncate(50, "d"), p.truncate(3, "s"), p.hour("t"), p.day("day"), p.month("t"), p.year("t")]
     rows = df.select(*[p.value_of(t, df.schema[t.column].dataType).alias(f"v{i}") for i, t in enumerate(ts)]).collect()
-    assert tuple(rows[0]) == (-10, Decimal("10.50"), "ice", -1, -1, -1, -1)
+    assert tuple(rows[0]) == (-10, Decimal("10.50"), "gla", -1, -1, -1, -1)
     assert tuple(rows[1]) == (None,) * 7
