@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .pretokens import SLICE_BYTES, Pretokens, added_tokens
-from .words import buffers, chunks, mix64
+from .words import buffers, chunks, mix64, tidy
 
 LIMIT = 1024
 #: Documents in a slice at most: postings hold 16-bit numbers.
@@ -65,6 +65,7 @@ def _postings(p: Pretokens) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(p.texts), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
 
 
+@tidy
 def _read(batches: Iterator[pa.RecordBatch], added: tuple[bytes, ...]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -97,6 +98,7 @@ def _tokenizer(spec: str):
     return found
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBatch]:
     """Packed sums of pieces * frequency for each slice; rows that describe documents are passed on."""
     tokenizer = _tokenizer(spec)
@@ -145,6 +147,7 @@ def _count(batches: Iterator[pa.RecordBatch], spec: str) -> Iterator[pa.RecordBa
         yield packed(*summed())
 
 
+@tidy
 def _total(batches: Iterator[pa.RecordBatch], limit: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Adds up a slice's packed sums; its rows stand together, the one that describes its documents first."""
     docs, n = None, np.zeros(0, np.int64)
