@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product through a hierarchical k-means tree, best bin first.
 
 * The tree is fitted on the driver to at most ``SAMPLE`` vectors (those whose id hashes lowest, repeats left out); every
-  vector is then sent down it to a leaf. The tree has at most ``SAMPLE / 16`` leaves, so it may be broadcast.
+  vector is then sent down it to a leaf. The tree has about rows ** 0.4 leaves, at most ``SAMPLE / 16``, so it may be broadcast.
 * A query walks the tree with a priority queue of nodes, the most promising first (inner product with the node's centre plus
   ``SPREAD`` times the query's length times the node's mean radius), and visits leaves in the order in which they come up.
 * How many leaves to visit is calibrated: the exact neighbours of up to ``CALIBRATION`` queries are found by brute
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import Workspace
+from .words import tidy
 
-SAMPLE, LEAF_ROWS, BRANCHES, CALIBRATION, RECALL, SPREAD, BLOCK = 20_000, 256, 8, 128, 0.96, 0.5, 2048
+SAMPLE, BRANCHES, CALIBRATION, RECALL, SPREAD, BLOCK = 20_000, 8, 128, 0.96, 0.5, 2048
 K, EVERY = 20, 20
 
 
@@ -167,6 +168,7 @@ def exact_neighbours(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: i
     """Brute force: a bounded number of queries against every row (vec_id, vector), block by block."""
     sent = rows.sparkSession.sparkContext.broadcast((ids, queries))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, q = sent.value
         for batch in batches:
@@ -177,7 +179,7 @@ def exact_neighbours(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: i
     return _ranked(rows.select("vec_id", "vector").mapInArrow(run, FOUND), k)
 
 
-def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query: Column | None = None, k: int = K, sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query: Column | None = None, k: int = K, sample: int = SAMPLE, leaves: int | None = None, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """Each query's k nearest rows found: query_id, rank (from 1), vec_id, score (inner product in double precision).
 
     ``query``: condition on the table for a row to be a query (by default: id divisible by 20); every other row is its candidate,
@@ -199,10 +201,12 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     dim = int(np.bincount(lengths).argmax())
     rows = rows.where(F.size("vector") == dim)
     x = np.unique(np.array([r[0] for r in drawn if len(r[0]) == dim] or [rows.first()["vector"]]), axis=0)
-    # leaves of about leaf_rows rows of the whole table, but of 16 of the sample at least
-    tree = build_tree(x, max(16, round(leaf_rows * len(x) / total)) if total > leaf_rows else len(x))
+    # more rows make more leaves, but fewer than in proportion: what queries hand on follows leaves visited
+    leaves = max(1, round(total**0.4) if leaves is None else leaves)
+    tree = build_tree(x, max(16, -(-len(x) // leaves)) if leaves > 1 else len(x))
     sent = spark.sparkContext.broadcast(tree)
 
+    @tidy
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
@@ -222,6 +226,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     blocks = np.maximum(1, -(-held // block))
     ways = spark.sparkContext.broadcast((held, depth))
 
+    @tidy
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, visits = ways.value
         for batch in batches:
@@ -249,6 +254,7 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     asking = steps.withColumn("qb", place("query_id", n_asks)).withColumn("vb", every(n_blocks))
     both = vectors.select("leaf", "vb", "qb", F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "vector").unionByName(asking.select("leaf", "vb", "qb", F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.col("query").alias("vector")))
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, q_ids, q = None, [], []
         for batch in batches:

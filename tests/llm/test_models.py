@@ -29,7 +29,7 @@ def brute(x, i, k):
 def test_neighbours(spark, n):
     x, df = vectors(spark, n)
     got = {}
-    for r in ann.search(df, block=100, leaf_rows=64).collect():
+    for r in ann.search(df, block=100, leaves=24).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert set(got) == set(range(0, n, 20))
     hits = total = 0
