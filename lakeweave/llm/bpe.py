@@ -23,8 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .pretokens import SLICE_BYTES, Pretokens
-from .words import buffers, chunks
+from .pretokens import Pretokens
+from .words import buffers, chunks, tidy
+
+#: Texts are encoded in slices of at most so many bytes (a longer text alone), and handed on when results come to as many.
+SLICE_BYTES = 10 << 20
 
 
 class RankSet:
@@ -246,6 +249,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
 
     schema = to_arrow_schema(T.StructType(fields))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(table)
         for batch in batches:

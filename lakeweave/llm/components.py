@@ -30,7 +30,8 @@ def components(links: DataFrame, work: Workspace, name: str = "components") -> D
             break
         # large star: every larger neighbour of a node points at the least of its neighbourhood
         both = at.union(at.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # (written, so that the join deals both sides anew and AQE can split a node with very many links)
+        least = work.put(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-least-{i}")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # small star: a node and its smaller neighbours point at the least of these
         least = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, fresh
 from .components import components
-from .words import _table, shingle_sets
+from .words import _table, shingle_sets, tidy
 
 BANDS, ROWS, SAMPLES, BITS = 32, 4, 256, 512
 SIMILAR, OUT_OF = 75, 100
@@ -77,6 +77,7 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 _ESTIMATE = 1 + BITS / (4 * SAMPLES) * np.log(np.maximum(1 - 2 * np.arange(BITS + 1) / BITS, 1e-9))
 
 
+@tidy
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "n", "print", "keys", "sketch"]
     for batch in batches:
@@ -133,6 +134,7 @@ def _fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
+@tidy
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning forests (a, b) of similar sketches, for each bucket or pair of blocks of one."""
     out_a: list[int] = []
@@ -160,6 +162,7 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
 
+@tidy
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Confirmed links (a, b) that span what each group's (or pair of blocks') texts link."""
     out_a: list[int] = []
