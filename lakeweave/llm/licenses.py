@@ -8,8 +8,10 @@ block whose winner isn't confirmed tries the next template that saves anything,
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import functools
+import math
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -47,18 +49,32 @@ SIGNAL = r"(?i)licen[cs]e|copyright|permission is hereby|redistribution and use|
 MISSING = 0.2
 #: Words that may not differ (fixed values), besides numbers.
 TELLING = frozenset("apache bsd mit gnu gpl lesser mozilla cc cc0 by nc sa nd attribution noncommercial sharealike".split())
+_LOWER = {i: i + 32 for i in range(65, 91)}  # keeps every character's place
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 _PART = re.compile(r"[^\n.!?]*(?:[.!?](?!\s)[^\n.!?]*)*(?:[.!?]+|\n|$)")
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, str]]:
-    """(start, text) of maximal runs of sentences or lines with a signal."""
-    found = re.compile(SIGNAL)
-    start, stop = -1, -1
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Their union, in order."""
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = out[-1][0], max(stop, out[-1][1])
+        else:
+            out.append((start, stop))
+    return out
+
+
+def candidate_blocks(text: str, also: Sequence[tuple[int, int]] = ()) -> Iterator[tuple[int, str]]:
+    """(start, text) of maximal runs of sentences or lines with a signal or with a part of one of the spans ``also``."""
+    marks = _joined([m.span() for m in re.finditer(SIGNAL, text)] + list(also))
+    start, stop, k = -1, -1, 0
     for m in _PART.finditer(text):
         if m.end() == m.start():
             continue
-        if found.search(m[0]):
+        while k < len(marks) and marks[k][1] <= m.start():
+            k += 1
+        if k < len(marks) and marks[k][0] < m.end():
             if m.start() == stop or start >= 0 and not text[stop : m.start()].strip():
                 stop = m.end()
             else:
@@ -93,17 +109,98 @@ def differences(statement: str, block: str) -> tuple[list[str], list[str]]:
     return lacks, has
 
 
+def tells(word: str) -> bool:
+    return word in TELLING or word[0].isdigit()
+
+
 def confirmed(statement: str, lacks: list[str], has: list[str]) -> bool:
-    tells = lambda w: w in TELLING or w[0].isdigit()
     return len(lacks) <= MISSING * len(words(statement)) and len(has) <= MISSING * len(words(statement)) and not any(map(tells, lacks)) and not any(map(tells, has))
 
 
-def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -> tuple[str, int, list[str], list[str], bool]:
-    """(license, bytes saved, missing words, other words, confirmed) of the likeliest template."""
+def possible(statement: list[str], there: set[str]) -> bool:
+    """Whether a text of these words can confirm the statement at all."""
+    absent = [w for w in statement if w not in there]
+    return len(absent) <= MISSING * len(statement) and not any(map(tells, absent))
+
+
+def places(statement: str, text: list[str]) -> Iterator[tuple[int, int, list[str], list[str]]]:
+    """(first word, end, missing words, other words) of the places in ``text`` that confirm the statement; none overlap.
+
+    Column by column, the least number of words missing or in between for each opening part of the statement, from any first word.
+    """
+    a = words(statement)
+    if not possible(a, set(text)):
+        return
+    n, never = len(a), 1 << 30
+    drop = [never if tells(w) else 1 for w in a]
+    cost, first, ends = [0] * (n + 1), [0] * (n + 1), []
+    for i in range(n):
+        cost[i + 1] = cost[i] + drop[i]
+    for j, w in enumerate(text):
+        add = never if tells(w) else 1
+        c0, f0 = cost[0], first[0]
+        first[0] = j + 1
+        for i in range(1, n + 1):
+            c, f = cost[i] + add, first[i]
+            if cost[i - 1] + drop[i - 1] < c:
+                c, f = cost[i - 1] + drop[i - 1], first[i - 1]
+            if a[i - 1] == w and c0 <= c:
+                c, f = c0, f0
+            c0, f0, cost[i], first[i] = cost[i], first[i], c, f
+        if cost[n] <= 2 * MISSING * n:
+            ends.append((cost[n], first[n], j + 1))
+    taken: list[tuple[int, int]] = []
+    for _, i, j in sorted(ends):
+        k = bisect.bisect(taken, (i, j))
+        if k and taken[k - 1][1] > i or k < len(taken) and taken[k][0] < j:
+            continue
+        lacks, has = differences(statement, " ".join(text[i:j]))
+        if confirmed(statement, lacks, has):
+            taken.insert(k, (i, j))
+            yield i, j, lacks, has
+
+
+def find_statements(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -> list[tuple[int, int, str, list[str], list[str]]]:
+    """(start, stop, license, missing words, other words) of all confirmed statements that touch a candidate block.
+
+    A sentence may end inside a statement ('v. 2.0'), so a block is searched with the words of its line around it, as many as the longest
+    statement can take.
+    """
+    found = list(_WORD.finditer(text.translate(_LOWER)))
+    starts, stops = [m.start() for m in found], [m.end() for m in found]
+    reach = math.ceil((1 + MISSING) * max(len(words(s)) for _, many in templates for s in many))
+    blocks = [(start, start + len(block)) for start, block in candidate_blocks(text)]
+    windows = []
+    for start, stop in blocks:
+        line, end = text.rfind("\n", 0, start) + 1, text.find("\n", stop - 1)
+        low, high = bisect.bisect_left(starts, line), bisect.bisect_left(starts, max(stop, end if end >= 0 else len(text)))
+        windows.append((max(low, bisect.bisect_right(stops, start) - reach), min(high, bisect.bisect_left(starts, stop) + reach)))
+    out, k = [], 0
+    for low, high in _joined(windows):
+        there = [m[0] for m in found[low:high]]
+        for name, many in templates:
+            for s in many:
+                out += [(starts[low + i], stops[low + j - 1], name, lacks, has) for i, j, lacks, has in places(s, there)]
+    out.sort()
+    touching = []
+    for f in out:
+        while k < len(blocks) and blocks[k][1] <= f[0]:
+            k += 1
+        if k < len(blocks) and blocks[k][0] < f[1]:
+            touching.append(f)
+    return touching
+
+
+def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...], found: Sequence[tuple[int, int, str, list[str], list[str]]] = ()) -> tuple[str, int, list[str], list[str], bool]:
+    """(license, bytes saved, missing words, other words, confirmed) of the likeliest template; ``found`` are the statements in it."""
     plain, with_template = _compressors(templates)
     data = block.encode()
     alone = len(plain.compress(data))
     saved = sorted(((alone - len(c.compress(data)), name) for name, c in with_template), key=lambda x: (-x[0], x[1]))
+    for gain, name in saved:
+        if own := [f for f in found if f[2] == name]:
+            _, _, _, lacks, has = min(own, key=lambda f: len(f[3]) + len(f[4]))
+            return name, gain, lacks, has, True
     first = None
     for gain, name in saved:
         if gain <= 0 and first is not None:
@@ -117,6 +214,19 @@ def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -
     return first
 
 
+def scan_text(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -> Iterator[tuple[int, int, int, str | None, str, int, list[str], list[str]]]:
+    """The rows of one text, without its id."""
+    found = find_statements(text, templates)
+    k = 0
+    for n, (start, block) in enumerate(candidate_blocks(text, [f[:2] for f in found])):
+        own = []
+        while k < len(found) and found[k][0] < start + len(block):
+            own.append(found[k])
+            k += 1
+        name, gain, lacks, has, ok = scan_block(block, templates, own)
+        yield n, start, len(block), name if ok else None, name, gain, lacks, has
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, Sequence[str]] = TEMPLATES) -> DataFrame:
     """A row for each candidate block: id, block (number in the text, from 0), start (character), length, license (of the
     confirmed template, else null), likeliest (template), saved (bytes), missing and other (words).
@@ -134,10 +244,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             at, rows = [], []
             for i, text in enumerate(batch.column(1)):
-                for n, (start, block) in enumerate(candidate_blocks(text.as_py())):
-                    name, gain, lacks, has, ok = scan_block(block, fixed)
+                for row in scan_text(text.as_py(), fixed):
                     at.append(i)
-                    rows.append((n, start, len(block), name if ok else None, name, gain, lacks, has))
+                    rows.append(row)
             if rows:
                 ids = batch.column(0).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([ids.cast(schema.field(0).type), *(pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(schema)[1:], strict=True))], schema=schema)

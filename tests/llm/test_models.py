@@ -118,3 +118,12 @@ def test_licenses(spark):
     at = {r.doc_id: data[r.doc_id - 1][1][r.start : r.start + r.length] for r in got}
     assert "MIT" in at[1] and at[7].startswith("Licensed")
     assert licenses.scan_licenses(table(spark, [])).collect() == []
+
+
+def test_each_statement_is_confirmed_on_itself(spark):
+    data = [(f"{a}{s}{b}", name) for name, many in licenses.TEMPLATES.items() for s in many for a, b in (("", ""), ("Some text. ", "\nMore."))]
+    data.append(("One.\nThis Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. Two.", "MPL-2.0"))
+    got = licenses.scan_licenses(table(spark, [(i, text, "s") for i, (text, _) in enumerate(data)])).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(data)} and len(got) == len(data)
+    r = max(got, key=lambda r: r.doc_id)
+    assert data[-1][0][r.start : r.start + r.length] == "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
