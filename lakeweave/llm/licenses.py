@@ -2,8 +2,9 @@
 
 Candidate blocks (sentences or lines with a licensing word, joined where they follow each other) are compressed alone and with each
 template as zstandard raw dictionary. The template that saves most is the block's likeliest; it is confirmed by the wording
-itself: the words of one of the template's statements that the block lacks, in order, and what it has in their place. A
-block whose winner isn't confirmed tries the next template that saves anything, so a near name doesn't hide the right one.
+itself: the words of one of the template's statements that the block lacks, in order, and what it has in their place.
+The templates after it are tried too, on the words that no confirmed one has taken, so a near name doesn't hide the right one and a
+block with several licenses gives them all.
 """
 
 from __future__ import annotations
@@ -191,16 +192,29 @@ def find_statements(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...
     return touching
 
 
-def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...], found: Sequence[tuple[int, int, str, list[str], list[str]]] = ()) -> tuple[str, int, list[str], list[str], bool]:
-    """(license, bytes saved, missing words, other words, confirmed) of the likeliest template; ``found`` are the statements in it."""
+def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...], found: Sequence[tuple[int, int, str, list[str], list[str]]] = ()) -> list[tuple[str, int, list[str], list[str], bool]]:
+    """(license, bytes saved, missing words, other words, confirmed) of each license whose statements are in the block, by bytes saved; of
+    the likeliest template if there is none. ``found`` are the confirmed statements; words of one that is taken count for no other license.
+    """
     plain, with_template = _compressors(templates)
     data = block.encode()
     alone = len(plain.compress(data))
     saved = sorted(((alone - len(c.compress(data)), name) for name, c in with_template), key=lambda x: (-x[0], x[1]))
-    for gain, name in saved:
-        if own := [f for f in found if f[2] == name]:
+    taken: list[tuple[int, int]] = []
+    out = []
+    for gain, name in saved:  # whatever it saves: what stands twice in a block saves little the second time
+        own = []
+        for f in found:
+            if f[2] == name:
+                k = bisect.bisect_right(taken, (f[0], f[0]))
+                if not (k and taken[k - 1][1] > f[0] or k < len(taken) and taken[k][0] < f[1]):
+                    own.append(f)
+        if own:
+            taken = _joined(taken + [f[:2] for f in own])
             _, _, _, lacks, has = min(own, key=lambda f: len(f[3]) + len(f[4]))
-            return name, gain, lacks, has, True
+            out.append((name, gain, lacks, has, True))
+    if out:
+        return out
     first = None
     for gain, name in saved:
         if gain <= 0 and first is not None:
@@ -209,9 +223,9 @@ def scan_block(block: str, templates: tuple[tuple[str, tuple[str, ...]], ...], f
         ok = [t for t in tried if confirmed(*t)]
         best = min(ok or tried, key=lambda t: len(t[1]) + len(t[2]))
         if ok:
-            return name, gain, best[1], best[2], True
+            return [(name, gain, best[1], best[2], True)]
         first = first or (name, gain, best[1], best[2], False)
-    return first
+    return [first]
 
 
 def scan_text(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -> Iterator[tuple[int, int, int, str | None, str, int, list[str], list[str]]]:
@@ -223,13 +237,14 @@ def scan_text(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) ->
         while k < len(found) and found[k][0] < start + len(block):
             own.append(found[k])
             k += 1
-        name, gain, lacks, has, ok = scan_block(block, templates, own)
-        yield n, start, len(block), name if ok else None, name, gain, lacks, has
+        for name, gain, lacks, has, ok in scan_block(block, templates, own):
+            yield n, start, len(block), name if ok else None, name, gain, lacks, has
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, Sequence[str]] = TEMPLATES) -> DataFrame:
-    """A row for each candidate block: id, block (number in the text, from 0), start (character), length, license (of the
-    confirmed template, else null), likeliest (template), saved (bytes), missing and other (words).
+    """A row for each candidate block, or for each license confirmed in it: id, block (number in the text, from 0), start
+    (character), length, license (of the confirmed template, else null), likeliest (template), saved (bytes), missing and other
+    (words). A license that stands in a block several times is one row.
 
     Texts without a candidate, null and empty ones give no row. Repeated rows give their rows each. Equal savings go by
     license name. An empty table gives an empty result. Other columns are not read. Whole texts are searched.

@@ -127,3 +127,12 @@ def test_each_statement_is_confirmed_on_itself(spark):
     assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(data)} and len(got) == len(data)
     r = max(got, key=lambda r: r.doc_id)
     assert data[-1][0][r.start : r.start + r.length] == "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+
+
+def test_all_licenses_of_a_block(spark):
+    lines = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "This work is licensed under the GNU General Public License, version 2.", "Licensed under CC BY-SA 4.0."]
+    data = [(1, " ".join(lines[:2]), "s"), (2, "\n".join(lines), "s"), (3, "\n\n".join(lines[:3] * 3), "s"), (4, "\n".join(s for many in licenses.TEMPLATES.values() for s in many), "s"), (5, "A licence. " + lines[0], "s")]
+    got = licenses.scan_licenses(table(spark, data)).collect()
+    want = {1: ["CC-BY-4.0", "MIT"], 2: ["CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "MIT"], 3: ["CC-BY-4.0", "GPL-2.0", "MIT"], 4: sorted(licenses.TEMPLATES), 5: ["MIT"]}
+    assert {i: sorted(r.license for r in got if r.doc_id == i) for i in want} == want
+    assert all((r.block, r.start, r.length) == (0, 0, len(data[r.doc_id - 1][1])) for r in got)
