@@ -1,6 +1,6 @@
 """License scans by conditional compression.
 
-Candidate blocks (sentences or lines with a licensing word, joined where they follow each other) are compressed alone and with each
+Candidate blocks (sentences or lines with a licensing word or a part of a confirmed statement, joined where they follow each other) are compressed alone and with each
 template as zstandard raw dictionary. The template that saves most is the block's likeliest; it is confirmed by the wording
 itself: the words of one of the template's statements that the block lacks, in order, and what it has in their place.
 The templates after it are tried too, on the words that no confirmed one has taken, so a near name doesn't hide the right one and a
@@ -44,8 +44,10 @@ TEMPLATES: Mapping[str, Sequence[str]] = {
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
+#: Between the words of a signal: blanks, or a line's end and what opens the next line of a comment.
+_GAP = r"(?:[ \t]+|[ \t]*\r?\n[^A-Za-z0-9\n]*)"
 #: What makes a sentence or line a candidate; in both Java's and Python's notation.
-SIGNAL = r"(?i)licen[cs]e|copyright|permission is hereby|redistribution and use|public domain|creative commons|\bcc by\b|\bcc0\b"
+SIGNAL = r"(?i)licen[cs]e|copyright|permission is hereby|redistribution and use|public domain|creative commons|\bcc by\b|\bcc0\b".replace(" ", _GAP)
 #: A statement is confirmed if at most this share of its words is missing or replaced, and no number or kind of license is.
 MISSING = 0.2
 #: Words that may not differ (fixed values), besides numbers.
@@ -164,8 +166,8 @@ def places(statement: str, text: list[str]) -> Iterator[tuple[int, int, list[str
 def find_statements(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...]) -> list[tuple[int, int, str, list[str], list[str]]]:
     """(start, stop, license, missing words, other words) of all confirmed statements that touch a candidate block.
 
-    A sentence may end inside a statement ('v. 2.0'), so a block is searched with the words of its line around it, as many as the longest
-    statement can take.
+    A statement may be wrapped over lines and a sentence may end inside it ('v. 2.0'), so a block is searched with the words around
+    it, as many as the longest statement can take.
     """
     found = list(_WORD.finditer(text.translate(_LOWER)))
     starts, stops = [m.start() for m in found], [m.end() for m in found]
@@ -173,9 +175,7 @@ def find_statements(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...
     blocks = [(start, start + len(block)) for start, block in candidate_blocks(text)]
     windows = []
     for start, stop in blocks:
-        line, end = text.rfind("\n", 0, start) + 1, text.find("\n", stop - 1)
-        low, high = bisect.bisect_left(starts, line), bisect.bisect_left(starts, max(stop, end if end >= 0 else len(text)))
-        windows.append((max(low, bisect.bisect_right(stops, start) - reach), min(high, bisect.bisect_left(starts, stop) + reach)))
+        windows.append((max(0, bisect.bisect_right(stops, start) - reach), min(len(found), bisect.bisect_left(starts, stop) + reach)))
     out, k = [], 0
     for low, high in _joined(windows):
         there = [m[0] for m in found[low:high]]

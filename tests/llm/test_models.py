@@ -136,3 +136,18 @@ def test_all_licenses_of_a_block(spark):
     want = {1: ["CC-BY-4.0", "MIT"], 2: ["CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "MIT"], 3: ["CC-BY-4.0", "GPL-2.0", "MIT"], 4: sorted(licenses.TEMPLATES), 5: ["MIT"]}
     assert {i: sorted(r.license for r in got if r.doc_id == i) for i in want} == want
     assert all((r.block, r.start, r.length) == (0, 0, len(data[r.doc_id - 1][1])) for r in got)
+
+
+def test_wrapped_statements(spark):
+    import textwrap
+
+    data = []
+    for name, many in licenses.TEMPLATES.items():
+        for s in many:
+            for width, mark, end in ((75, "", "\n"), (60, " * ", "\n"), (30, "# ", "\n"), (20, "// ", "\r\n"), (12, "", "\n")):
+                data.append((f"int x;{end}{mark.strip()}{end}" + "".join(f"{mark}{x}{end}" for x in textwrap.wrap(s, width, break_long_words=False, break_on_hyphens=False)) + f"{mark.strip()}{end}{mark}Other words.{end}", name))
+    got = licenses.scan_licenses(table(spark, [(i, text, "s") for i, (text, _) in enumerate(data)])).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (_, name) in enumerate(data)} and len(got) == len(data)
+    assert all("Other" not in data[r.doc_id][0][r.start : r.start + r.length] for r in got)
+    apart = "A licence to sing.\nNo such word here.\nReleased under\nthe MIT License."
+    assert sorted((r.block, r.license or "", apart[r.start : r.start + r.length]) for r in licenses.scan_licenses(table(spark, [(1, apart, "s")])).collect()) == [(0, "", "A licence to sing."), (1, "MIT", "Released under\nthe MIT License.")]
