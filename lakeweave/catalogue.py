@@ -536,7 +536,7 @@ def csv_source(spark, sf):
     from .sources.files import read_csv
 
     root = scratch(spark)
-    read(spark, sf, "orders").where("o_orderkey < 1000").select("o_orderkey", "o_custkey").write.option("header", True).csv(f"{root}/csv")
+    read(spark, sf, "orders").select("o_orderkey", "o_custkey").write.option("header", True).csv(f"{root}/csv")
     w = warehouse(spark)
     w.load(TableSpec("orders"), read_csv(spark, f"{root}/csv", "o_orderkey long, o_custkey long"), "first")
-    return w.table("orders").scan()
+    return w.table("orders").scan().where("o_orderkey < 1000")

@@ -43,3 +43,8 @@ def test_query(spark, duck, name):
     assert sorted(names) == order
     place = [names.index(c) for c in order]
     assert got == sorted((tuple(cell(r[i]) for i in place) for r in want.fetchall()), key=key)
+
+
+def test_csv_source_loads_all_orders(spark, duck):
+    loaded = spark.read.parquet(*catalogue.queries()["csv_source"](spark, SF).inputFiles())
+    assert sorted(map(tuple, loaded.select("o_orderkey", "o_custkey").collect())) == sorted(duck.execute("SELECT o_orderkey, o_custkey FROM orders").fetchall())
