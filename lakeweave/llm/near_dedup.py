@@ -6,14 +6,15 @@
    Texts with the same set are one class from here on; its smallest id stands for it.
 2. Classes that share a band key are candidates. Band keys held by one class are dropped; those held by many are split into pairs of
    blocks (``BLOCK``), so no task holds more. In a block the sketches are compared: with d the share of bits set in the
-   XOR of two sketches, 1 + BITS * ln(1 - 2 d) / (4 SAMPLES) estimates the similarity. Of the pairs over ``SKETCH_AT`` (4.5
+   XOR of two sketches, 1 + BITS * ln(1 - 2 d) / (4 SAMPLES) estimates the similarity. Of the pairs over ``SKETCH_AT`` (6
    standard errors under the threshold) only a spanning forest is handed on: candidate groups, not pairs.
 3. Candidate groups are the components of those forests. A group's sets are compared in one task, or, for a group of more than
    ``GROUP_MEMBERS`` classes or ``GROUP_WORDS`` shingles, in tasks for pairs of its blocks. There pairs over SKETCH_AT whose ends aren't yet linked
    are confirmed on the full sets, so exactly the links that matter for components are looked at, however many copies there are.
 4. Components of the confirmed links.
 
-A pair of similarity 0.75 shares no band with a chance of (1 - 0.75^4)^32 = 5e-6; nothing else loses links.
+Two steps can lose a link. A pair of similarity 0.75 shares no band with a chance of (1 - 0.75^4)^32 = 5e-6, and its sketches
+estimate less than SKETCH_AT with a chance of 9e-7 (2e-7 at 0.76; computed from the law of odd bits for ideal hashing).
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from .words import _table, shingle_sets, tidy
 
 BANDS, ROWS, SAMPLES, BITS = 32, 4, 256, 512
 SIMILAR, OUT_OF = 75, 100
-SKETCH_AT = 0.62
+SKETCH_AT = 0.55
 BLOCK = 2048
 GROUP_MEMBERS, GROUP_WORDS = 4096, 2_000_000
 _MULTIPLY = (_table(101, SAMPLES) >> np.uint64(20)).astype(np.uint32) | np.uint32(1)

@@ -99,3 +99,16 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 30)] + [(100, 103), (103, 101), (7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long"), Workspace(spark)).collect()))
     assert found == {i: 0 for i in range(31)} | {100: 100, 101: 100, 103: 100}
+
+
+def test_links_of_low_estimate_are_kept(spark):
+    import random
+
+    data = []
+    for seed in (4654, 6946):  # pairs at 0.75 whose sketches estimate 0.61
+        r = random.Random(seed)
+        w = [f"w{r.randrange(10**9)}" for _ in range(84)]
+        data += [(seed, " ".join(w[:74]), "s"), (seed + 1, " ".join(w[:64] + w[74:]), "s")]
+    got = near_dedup.near_groups(table(spark, data)).collect()
+    assert sorted(map(tuple, got), key=str) == expected_groups(data)
+    assert {r.doc_id: r.component_id for r in got} == {4654: 4654, 4655: 4654, 6946: 6946, 6947: 6946}
