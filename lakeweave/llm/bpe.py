@@ -233,9 +233,9 @@ def encode_column(column: pa.Array, encoder: Encoder) -> Iterator[tuple[int, lis
             yield a + i, ids[shift + np.arange(total)].tolist()
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, digests: bool = False) -> DataFrame:
-    """One row for each row of ``docs``: id, n_tokens; with ``ids`` also ids (array<int>) and decoded (binary: the ids decoded
-    again, which is the text's UTF-8); with ``digests`` ids_sha256 (of the decimal ids joined by commas) and decoded_sha256.
+def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, decoded: bool = True, digests: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: id, n_tokens; with ``ids`` also ids (array<int>), with ``decoded`` also decoded (binary: the
+    ids decoded again, which is the text's UTF-8); with ``digests`` ids_sha256 (of the decimal ids joined by commas) and decoded_sha256.
 
     Every match of the pattern is encoded alone, without special tokens. Null counts as empty: no tokens. Repeated rows keep a
     row each. An empty table gives an empty result. Other columns are not read. The vocabulary (a few MB) is sent along.
@@ -243,7 +243,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
     with open(ranks_path, "rb") as f:
         table = f.read()
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType())]
-    fields += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())] * ids
+    fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] * ids + [T.StructField("decoded", T.BinaryType())] * decoded
     fields += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())] * digests
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -256,13 +256,16 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
             rows: list[list] = [[] for _ in fields[1:]]
             size = start = 0
             for i, found in encode_column(batch.column(1), encoder):
-                decoded = encoder.decode(found)
+                text = encoder.decode(found) if decoded or digests else b""
                 row = [len(found)]
                 if ids:
-                    row += [pa.array(found, pa.int32()), decoded]
-                    size += 4 * len(found) + len(decoded)
+                    row.append(pa.array(found, pa.int32()))
+                    size += 4 * len(found)
+                if decoded:
+                    row.append(text)
+                    size += len(text)
                 if digests:
-                    row += [hashlib.sha256(",".join(map(encoder.decimal.__getitem__, found)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()]
+                    row += [hashlib.sha256(",".join(map(encoder.decimal.__getitem__, found)).encode()).hexdigest(), hashlib.sha256(text).hexdigest()]
                 for held, x in zip(rows, row, strict=True):
                     held.append(x)
                 if size > SLICE_BYTES or i + 1 == len(batch):
@@ -288,4 +291,4 @@ def op9_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), ids=False, digests=True)
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), ids=False, decoded=False, digests=True)

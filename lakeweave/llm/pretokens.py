@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import base64
 import functools
 import json
 
 import numpy as np
 import regex
 
-from .words import _BYTE, _Powers, chunks, mix64
+from .words import chunks, hash_spans, padded
 
 #: The pattern that is cut by (fixed value). ``cut`` follows it by rule, on bytes; see there.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -36,12 +35,6 @@ def added_tokens(path: str) -> list[str]:
     return sorted((x["content"] for x in found), key=len, reverse=True)
 
 
-def load_ranks(path: str) -> dict[bytes, int]:
-    """token bytes -> rank, of a file with a base64 token and its rank on each line."""
-    with open(path, "rb") as f:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
-
-
 @functools.cache
 def _classes() -> np.ndarray:
     """The class of each code point."""
@@ -122,9 +115,9 @@ class Pretokens:
     """The pre-tokens of a slice of texts.
 
     ``row`` and ``which`` of each in order: its text, and its number among the distinct ones. ``texts``: the distinct ones' bytes;
-    ``key``: their hashes.
+    ``key``: their hashes, which texts may share.
     ``special``: how many added tokens each text holds; those are texts' borders and no pre-tokens.
-    Pre-tokens count as equal if length and a 64-bit hash are: in a slice of a million, two differ unseen with a chance of 1e-8.
+    Pre-tokens count as equal if their bytes are; hashes only bring equal ones together.
     """
 
     def __init__(self, offsets: np.ndarray, d: np.ndarray, added: tuple[bytes, ...] = ()) -> None:
@@ -155,23 +148,47 @@ class Pretokens:
             keep = (inside < 0) | (s >= spans[np.maximum(inside, 0), 1])
             s, e = s[keep], e[keep]
         self.row = (np.searchsorted(o, s, "right") - 1).astype(np.int32)
-        self.key, at, which = np.unique(self._hash(d, s, e), return_index=True, return_inverse=True)
-        self.which = which.astype(np.int32)
         raw = d.tobytes()
+        own = padded(d)
+        key = hash_spans(own, s, e)
+        self.key, at, which = np.unique(key, return_index=True, return_inverse=True)
+        others = _differing(own, s, e, at[which])
+        if others:  # of another text than the first one with their hash: told apart by their bytes
+            known: dict[bytes, int] = {}
+            for i in others:
+                text = raw[s[i] : e[i]]
+                if text not in known:
+                    known[text] = len(at) + len(known)
+                which[i] = known[text]
+            first = {w: i for i, w in zip(reversed(others), which[others[::-1]].tolist(), strict=True)}
+            at = np.concatenate([at, [first[w] for w in known.values()]])
+            self.key = np.concatenate([self.key, key[at[len(self.key) :]]])
+        self.which = which.astype(np.int32)
         self.texts = [raw[a:b] for a, b in zip(s[at].tolist(), e[at].tolist(), strict=True)]
 
-    @staticmethod
-    def _hash(d: np.ndarray, s: np.ndarray, e: np.ndarray, step: int = 1 << 20) -> np.ndarray:
-        out = np.empty(len(s), np.uint64)
-        powers = _Powers()
-        i = 0
-        while i < len(s):
-            j = max(i + 1, int(np.searchsorted(e, s[i] + step, "right")))
-            a, b = int(s[i]), int(e[j - 1])
-            up, down = powers.upto(b - a)
-            sums = np.zeros(b - a + 1, np.uint64)
-            with np.errstate(over="ignore"):
-                np.cumsum(_BYTE[d[a:b]] * up[: b - a], out=sums[1:])
-                out[i:j] = mix64((sums[e[i:j] - a] - sums[s[i:j] - a]) * down[s[i:j] - a] + (e[i:j] - s[i:j]).astype(np.uint64))
-            i = j
-        return out
+
+def _differing(d: np.ndarray, s: np.ndarray, e: np.ndarray, like: np.ndarray, step: int = 1 << 20) -> list[int]:
+    """Numbers of the spans whose bytes aren't those of the span ``like`` says, which has the same hash, in order; some ``step``
+    bytes at a time. Of one length up to eight bytes, ``hash_spans`` gives the same hash only to the same bytes."""
+    s, e = s.astype(np.int64), e.astype(np.int64)
+    n = e - s
+    out: list[int] = np.flatnonzero(n != n[like]).tolist()
+    todo = np.flatnonzero((n > 8) & (n == n[like]) & (like != np.arange(len(s))))
+    size = n[todo]
+    ends = np.concatenate([[0], np.cumsum(size)])
+    i = 0
+    while i < len(todo):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + step, "right")) - 1)
+        part, m = todo[i:j], size[i:j]
+        if j == i + 1:
+            a, b = int(part[0]), int(like[part[0]])
+            if (d[s[a] : e[a]] != d[s[b] : e[b]]).any():
+                out.append(a)
+        else:
+            place = np.arange(ends[j] - ends[i])
+            start = ends[i:j] - ends[i]
+            wrong = d[np.repeat(s[part] - start, m) + place] != d[np.repeat(s[like[part]] - start, m) + place]
+            if wrong.any():
+                out += part[np.unique(np.searchsorted(start, np.flatnonzero(wrong), "right") - 1)].tolist()
+        i = j
+    return sorted(out)

@@ -12,6 +12,7 @@ import contextlib
 import ctypes
 import functools
 import gc
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +51,11 @@ def _table(seed: int, n: int) -> np.ndarray:
         return (z ^ (z >> np.uint64(31))) | np.uint64(1)
 
 
-_BYTE = _table(11, 256)
 _PLACE = _table(13, SHINGLE_WORDS)
-_BASE = 0x5851F42D4C957F2D
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_LANE = _table(17, 1)[0]
+#: Spans of more bytes are hashed one by one.
+_LONG = 64
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -64,22 +66,32 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-class _Powers:
-    """Powers of the base and of its inverse, grown to the longest chunk seen."""
+def padded(d: np.ndarray) -> np.ndarray:
+    """The bytes with eight more after them, as ``hash_spans`` reads eight at a time."""
+    return np.concatenate([d, np.zeros(8, np.uint8)])
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n + 1:
-            def run(b: int) -> np.ndarray:
-                x = np.full(n + 1, b, np.uint64)
-                x[0] = 1
-                with np.errstate(over="ignore"):
-                    return np.multiply.accumulate(x)
+def hash_spans(d: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans [s, e) of padded bytes.
 
-            self.up, self.down = run(_BASE), run(_BASE_INV)
-        return self.up, self.down
+    Eight bytes after eight are mixed in by a bijection, so spans of one length up to eight bytes never share a hash. No sum
+    of powers: texts of a known structure (such as the Thue-Morse words) don't collide. Long spans take blake2b.
+    """
+    n = e - s
+    out = mix64(n.astype(np.uint64) + _LANE)
+    lanes = np.ndarray(max(len(d) - 7, 0), "<u8", d, strides=(1,))
+    todo = np.flatnonzero((n > 0) & (n <= _LONG))
+    at, left, h = s[todo], n[todo], out[todo]
+    while len(todo):
+        x = lanes[at] & _KEEP[np.minimum(left, 8)]
+        with np.errstate(over="ignore"):
+            h = mix64(h ^ (x * _LANE))
+        out[todo] = h
+        more = left > 8
+        todo, at, left, h = todo[more], at[more] + 8, left[more] - 8, h[more]
+    for i in np.flatnonzero(n > _LONG).tolist():
+        out[i] = np.frombuffer(hashlib.blake2b(d[s[i] : e[i]], digest_size=8).digest(), "<u8")[0]
+    return out
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +120,7 @@ def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES):
 class Words:
     """Words of rows [a, b): ``row`` (0-based in the range) and ``hash`` of each, in text order."""
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray, a: int, b: int, powers: _Powers) -> None:
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, a: int, b: int) -> None:
         o = (offsets[a : b + 1] - offsets[a]).astype(np.int64)
         d = data[offsets[a] : offsets[b]]
         self.rows, self.bytes, self.offsets = b - a, d, o
@@ -119,10 +131,7 @@ class Words:
         start[1:] &= ~word[:-1] | edge[1 : len(d)]
         stop[:-1] &= ~word[1:] | edge[1 : len(d)]
         s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
-        up, self._down = powers.upto(len(d))
-        self._sums = np.zeros(len(d) + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(_BYTE[_LOWER[d]] * up[: len(d)], out=self._sums[1:])
+        self._lower = padded(_LOWER[d])
         self.hash = self.span_hash(s, e)
         self.row = np.searchsorted(o, s, "right") - 1
         self.first = np.searchsorted(self.row, np.arange(self.rows + 1))
@@ -130,8 +139,7 @@ class Words:
 
     def span_hash(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """The hash of the lower-cased bytes [s, e) of each span; that of a whole word is its ``hash``."""
-        with np.errstate(over="ignore"):
-            return mix64((self._sums[e] - self._sums[s]) * self._down[s] + (e - s).astype(np.uint64))
+        return hash_spans(self._lower, s, e)
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """(first, hash): shingles of row i are hash[first[i]:first[i + 1]], repeats included.
@@ -161,9 +169,8 @@ class Words:
 def word_chunks(column: pa.Array, most: int = CHUNK_BYTES):
     """Yields (a, b, Words) over a whole column."""
     offsets, data = buffers(column)
-    powers = _Powers()
     for a, b in chunks(offsets, most):
-        yield a, b, Words(offsets, data, a, b, powers)
+        yield a, b, Words(offsets, data, a, b)
 
 
 def shingle_sets(column: pa.Array):

@@ -38,3 +38,11 @@ def table(spark, data=None, schema=SCHEMA):
 def shingles(text):
     words = WORD.findall(lower(text))
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def thue_morse(n=1024):
+    """Two different texts that a polynomial hash modulo a power of two can't tell apart."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))

@@ -3,9 +3,10 @@ import random
 
 import pyarrow as pa
 import pytest
-from helpers import rows, table
+from helpers import rows, table, thue_morse
 
-from lakeweave.llm import bpe, token_counts
+import numpy as np
+from lakeweave.llm import bpe, pretokens, token_counts
 from lakeweave.llm.pretokens import PATTERN, Pretokens
 from lakeweave.llm.words import buffers, shingle_sets
 
@@ -45,6 +46,29 @@ def test_encoder_equals_the_library():
         assert encoder._merge_alone(word.encode()) == encoder._merge([word.encode()])[0].tolist()
 
 
+@pytest.mark.parametrize("swap", [False, True])
+def test_texts_that_hash_alike_stay_apart(spark, swap, monkeypatch):
+    from tokenizers import Tokenizer
+
+    pair = thue_morse()[:: -1 if swap else 1]
+    assert len({s.tobytes() for s in shingle_sets(pa.array(pair))}) == 2
+    data = [(i, t, "s") for i, t in enumerate(pair * 2)]
+    got = bpe.encode_documents(table(spark, data), P.path("byte_bpe_multi_50k.tiktoken"), digests=True).collect()
+    assert all(r.decoded_sha256 == hashlib.sha256(data[r.doc_id][1].encode()).hexdigest() for r in got) and len(got) == 4
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    counts = token_counts.count_tokens(table(spark, data), P.path("byte_bpe_50k.json")).collect()
+    assert {r.doc_id: r.n_tokens for r in counts} == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t, _ in data}
+    # long pre-tokens that all share one of three hashes
+    real = pretokens.hash_spans
+    monkeypatch.setattr(pretokens, "hash_spans", lambda d, s, e: np.where(e - s > 8, real(d, s, e) % np.uint64(3), real(d, s, e)))
+    r = random.Random(4)
+    words = ["pretoken" + str(i) for i in range(30)] + ["ab", "cd"]
+    texts_ = [" ".join(r.choice(words) for _ in range(50)) for _ in range(40)]
+    p = Pretokens(*buffers(pa.array(texts_)))
+    assert len(set(p.texts)) == len(p.texts) == len(p.key)
+    assert ["".join(p.texts[w].decode() for w in p.which[p.row == i]) for i in range(len(texts_))] == texts_
+
+
 def test_rank_set():
     s, r = bpe.RankSet(300_000), random.Random(1)
     held = set()
