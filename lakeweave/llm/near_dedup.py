@@ -3,18 +3,25 @@
 1. One pass over the texts: the set of distinct 5-word shingles of each (as 64-bit hashes), its size, a 128-bit fingerprint,
    ``SAMPLES`` MinHash samples of which the first ``BANDS * ROWS`` make the band keys, and all are folded into an odd
    sketch: each sample flips one bit of a ``BITS``-bit map, so that equal samples of two documents cancel out in the XOR.
-   Texts with the same set are one class from here on; its smallest id stands for it.
-2. Classes that share a band key are candidates. Band keys held by one class are dropped; those held by many are split into pairs of
-   blocks (``BLOCK``), so no task holds more. In a block the sketches are compared: with d the share of bits set in the
-   XOR of two sketches, 1 + BITS * ln(1 - 2 d) / (4 SAMPLES) estimates the similarity. Of the pairs over ``SKETCH_AT`` (6
-   standard errors under the threshold) only a spanning forest is handed on: candidate groups, not pairs.
-3. Candidate groups are the components of those forests. A group's sets are compared in one task, or, for a group of more than
-   ``GROUP_MEMBERS`` classes or ``GROUP_WORDS`` shingles, in tasks for pairs of its blocks. There pairs over SKETCH_AT whose ends aren't yet linked
-   are confirmed on the full sets, so exactly the links that matter for components are looked at, however many copies there are.
-4. Components of the confirmed links.
+   Texts with the same set are one class from here on, numbered when the classes are written; links are between classes, never
+   between ids, which may repeat.
+2. Classes that share a band key are candidates. Band keys held by one class are dropped. In a bucket the sketches are
+   compared: with d the share of bits set in the XOR of two sketches, 1 + BITS * ln(1 - 2 d) / (4 SAMPLES) estimates the
+   similarity. Of the pairs over ``SKETCH_AT`` (6 standard errors under the threshold) only a spanning forest is handed on:
+   candidate groups, not pairs.
+3. Candidate groups are the components of those forests. Their texts are read once more for the sets, and pairs over SKETCH_AT whose
+   ends aren't yet linked are confirmed on the full sets, so exactly the links that matter for components are looked at, however
+   many copies there are.
+4. Components of the confirmed links; a component's id is the smallest id of its classes' rows.
+
+A bucket or group of more than a block of classes (``spanned``) is dealt out by block, a member to one task, with about
+``PIVOTS`` of the group's members in every task as common ground. Most of a family of copies are linked to the same pivots there. Only
+members that aren't go on to meet the other blocks, ``block`` of them at a time; so a large family moves once, not once for
+each of its blocks, and no pair is left out.
 
 Two steps can lose a link. A pair of similarity 0.75 shares no band with a chance of (1 - 0.75^4)^32 = 5e-6, and its sketches
-estimate less than SKETCH_AT with a chance of 9e-7 (2e-7 at 0.76; computed from the law of odd bits for ideal hashing).
+estimate less than SKETCH_AT with a chance of 9e-7 (2e-7 at 0.76; computed from the law of odd bits for ideal hashing). Two
+shingles count as equal if their 64-bit hashes are (5e-20 for a pair of shingles; the hash has no known structure to collide).
 """
 
 from __future__ import annotations
@@ -24,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +42,12 @@ from .words import _table, shingle_sets, tidy
 BANDS, ROWS, SAMPLES, BITS = 32, 4, 256, 512
 SIMILAR, OUT_OF = 75, 100
 SKETCH_AT = 0.55
-BLOCK = 2048
-GROUP_MEMBERS, GROUP_WORDS = 4096, 2_000_000
+#: Classes in a block of a bucket; classes and shingles in one of a candidate group; members of a group that all its blocks see.
+BLOCK, GROUP_MEMBERS, GROUP_WORDS, PIVOTS = 256, 128, 500_000, 16
 _MULTIPLY = (_table(101, SAMPLES) >> np.uint64(20)).astype(np.uint32) | np.uint32(1)
 _ADD = (_table(103, SAMPLES) >> np.uint64(20)).astype(np.uint32)
 _COUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-SIGNATURES = "id long, n long, print binary, keys array<long>, sketch binary"
+SIGNATURES = "id long, mark binary, n long, print binary, keys array<long>, sketch binary"
 
 
 def samples(shingles: np.ndarray) -> np.ndarray:
@@ -78,14 +86,19 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 _ESTIMATE = 1 + BITS / (4 * SAMPLES) * np.log(np.maximum(1 - 2 * np.arange(BITS + 1) / BITS, 1e-9))
 
 
+def fingerprint(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 @tidy
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "n", "print", "keys", "sketch"]
+    """From (id, mark, text)."""
+    names = ["id", "mark", "n", "print", "keys", "sketch"]
     for batch in batches:
         n, prints, keys, sketches, start = [], [], [], [], 0
-        for i, s in enumerate(shingle_sets(batch.column(1))):
+        for i, s in enumerate(shingle_sets(batch.column(2))):
             n.append(len(s))
-            prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+            prints.append(fingerprint(s))
             if len(s):
                 m = samples(s)
                 keys.append(band_keys(m))
@@ -94,7 +107,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append([])
                 sketches.append(b"")
             if len(n) == 2000 or i + 1 == len(batch):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(n)), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array([list(k) for k in keys], pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(n)), batch.column(1).slice(start, len(n)), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array([list(k) for k in keys], pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=names)
                 start += len(n)
                 n, prints, keys, sketches = [], [], [], []
 
@@ -135,85 +148,204 @@ def _fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
 
+class Similar:
+    """Members of a block: which of those after i are near it, by sketch and, if there are sets, by the sets themselves."""
+
+    def __init__(self, size: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray] | None) -> None:
+        self.size, self.sketch, self.sets = size, sketch, sets
+        if sets is not None:
+            self.ends = np.concatenate([[0], np.cumsum(size)])
+            values, number = np.unique(np.concatenate(sets), return_inverse=True)
+            self.number, self.marked = number.astype(np.int32), np.zeros(len(values), bool)
+
+    def near(self, i: int, rest: np.ndarray) -> np.ndarray:
+        size = self.size
+        rest = rest[(size[rest] * OUT_OF >= SIMILAR * size[i]) & (size[i] * OUT_OF >= SIMILAR * size[rest])]
+        if len(rest):
+            rest = rest[estimate(self.sketch[i], self.sketch[rest]) >= SKETCH_AT]
+        if not len(rest) or self.sets is None:
+            return rest
+        ends, number = self.ends, self.number
+        own = number[ends[i] : ends[i + 1]]
+        self.marked[own] = True
+        if len(rest) * 2 < len(size):
+            span = np.concatenate([np.arange(ends[j], ends[j + 1]) for j in rest])
+            both = np.add.reduceat(self.marked[number[span]].astype(np.int64), np.concatenate([[0], np.cumsum(size[rest])[:-1]]))
+        else:  # most of them: in one go over all
+            both = np.add.reduceat(self.marked[number].astype(np.int64), ends[:-1])[rest]
+        self.marked[own] = False
+        return rest[OUT_OF * both >= SIMILAR * (size[i] + size[rest] - both)]
+
+
+def _members(t: pa.Table) -> tuple[np.ndarray, Similar]:
+    size, sketch = t["n"].to_numpy(), _fixed(t["sketch"], BITS // 8)
+    sets = [np.frombuffer(x, np.uint64) for x in t["words"].to_pylist()] if "words" in t.column_names else None
+    return t["node"].to_numpy(), Similar(size, sketch, sets)
+
+
+def _span(order: np.ndarray, similar: Similar, forest: Forest, found: list[tuple[int, int]], until: int | None = None) -> None:
+    """Compares each of ``order`` (the first ``until``, if given) with those after it in other trees; found: the edges that join trees."""
+    for place, i in enumerate(order[:until].tolist()):
+        rest = order[place + 1 :]
+        near = similar.near(i, rest[forest.root[rest] != forest.root[i]])
+        if len(near):
+            _, once = np.unique(forest.root[near], return_index=True)  # one edge to each tree
+            found += [(i, int(j)) for j in near[once]]
+            forest.join(i, near)
+
+
+SPANNED = "a long, b long, grp long, label long"
+
+
+def _spanned_rows(edges: list[tuple[np.ndarray, np.ndarray]], left: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Links (a, b), and members (a) of a group that have no tree in common with its other blocks, with the pivot they hang on, if any."""
+    a = np.concatenate([*(x for x, _ in edges), *(x for _, x, _ in left), np.zeros(0, np.int64)])
+    links, open_ = sum(len(x) for x, _ in edges), sum(len(x) for _, x, _ in left)
+    b = pa.concat_arrays([pa.array(np.concatenate([*(y for _, y in edges), np.zeros(0, np.int64)])), pa.nulls(open_, pa.int64())])
+    grp = pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(np.concatenate([*(np.full(len(x), g) for g, x, _ in left), np.zeros(0, np.int64)]))])
+    labels = np.concatenate([*(y for _, _, y in left), np.zeros(0, np.int64)])
+    label = pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(labels, mask=labels < 0)])
+    return pa.RecordBatch.from_arrays([pa.array(a), b, grp, label], names=["a", "b", "grp", "label"])
+
+
 @tidy
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning forests (a, b) of similar sketches, for each bucket or pair of blocks of one."""
-    out_a: list[int] = []
-    out_b: list[int] = []
-    for t in _runs(batches, ["key", "block"]):
-        n = len(t)
-        if n < 2:
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans each block of a group together with the group's pivots."""
+    edges: list[tuple[np.ndarray, np.ndarray]] = []
+    left: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for t in _runs(batches, ["grp", "block"]):
+        if len(t) < 2 and not t["blocks"][0].as_py() > 1:
             continue
-        ids, size, sketch = t["rep"].to_numpy(), t["n"].to_numpy(), _fixed(t["sketch"], BITS // 8)
-        forest = Forest(n)
-        for i in range(n - 1):
-            rest = np.flatnonzero((forest.root[i + 1 :] != forest.root[i])) + i + 1
-            rest = rest[(size[rest] * OUT_OF >= SIMILAR * size[i]) & (size[i] * OUT_OF >= SIMILAR * size[rest])]
-            if not len(rest):
-                continue
-            near = rest[estimate(sketch[i], sketch[rest]) >= SKETCH_AT]
-            if len(near):
-                _, once = np.unique(forest.root[near], return_index=True)  # one edge to each tree
-                out_a += [int(ids[i])] * len(once)
-                out_b += ids[near[once]].tolist()
-                forest.join(i, near)
-        if len(out_a) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-            out_a, out_b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+        node, at = np.unique(t["node"].to_numpy(), return_index=True)  # a class may have come from several rows
+        t = t.take(pa.array(at))
+        pivot = t["pivot"].to_numpy(zero_copy_only=False).astype(bool)
+        own = t["own"].to_numpy(zero_copy_only=False).astype(bool)
+        node, similar = _members(t)
+        forest, found = Forest(len(node)), []
+        common = np.flatnonzero(pivot)
+        _span(common, similar, forest, found)  # the same in every block of the group
+        trees, counts = np.unique(forest.root[common], return_counts=True)
+        anchor = int(common[forest.root[common] == trees[counts.argmax()]][0]) if len(common) else -1
+        _span(np.concatenate([common, np.flatnonzero(~pivot)]), similar, forest, found)
+        if found:
+            edges.append((node[[i for i, _ in found]], node[[j for _, j in found]]))
+        if t["blocks"][0].as_py() > 1:
+            away = np.flatnonzero(own & (forest.root != forest.root[anchor])) if anchor >= 0 else np.flatnonzero(own)
+            hangs = {int(forest.root[p]): int(node[p]) for p in common[::-1]}
+            if len(away):
+                left.append((t["grp"][0].as_py(), node[away], np.array([hangs.get(int(r), -1) for r in forest.root[away]], np.int64)))
+        if sum(len(x) for x, _ in edges) + sum(len(x) for _, x, _ in left) > 10_000:
+            yield _spanned_rows(edges, left)
+            edges, left = [], []
+    yield _spanned_rows(edges, left)
 
 
 @tidy
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Confirmed links (a, b) that span what each group's (or pair of blocks') texts link."""
-    out_a: list[int] = []
-    out_b: list[int] = []
-    for t in _runs(batches, ["grp", "block"]):
-        n = len(t)
-        if n < 2:
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans members that are left over (``asks``) with those of a block; who hangs on the same pivot is linked already."""
+    edges: list[tuple[np.ndarray, np.ndarray]] = []
+    for t in _runs(batches, ["grp", "part", "block"]):
+        asks = t["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        order = np.lexsort((~asks, t["node"].to_numpy()))
+        _, first = np.unique(t["node"].to_numpy()[order], return_index=True)  # one that asks may be of this block
+        t = t.take(pa.array(order[first]))
+        asks = t["asks"].to_numpy(zero_copy_only=False).astype(bool)
+        if not asks.any() or len(t) < 2:
             continue
-        ids, sketch = t["rep"].to_numpy(), _fixed(t["sketch"], BITS // 8)
-        sets = [s for chunk in t["text"].chunks for s in shingle_sets(chunk)]
-        size = np.array([len(s) for s in sets])
-        ends = np.concatenate([[0], np.cumsum(size)])
-        values, number = np.unique(np.concatenate(sets), return_inverse=True)
-        number = number.astype(np.int32)
-        marked = np.zeros(len(values), bool)
-        forest = Forest(n)
-        for i in range(n - 1):
-            rest = np.flatnonzero(forest.root[i + 1 :] != forest.root[i]) + i + 1
-            rest = rest[(size[rest] * OUT_OF >= SIMILAR * size[i]) & (size[i] * OUT_OF >= SIMILAR * size[rest])]
-            if not len(rest):
-                continue
-            rest = rest[estimate(sketch[i], sketch[rest]) >= SKETCH_AT]
-            if not len(rest):
-                continue
-            own = number[ends[i] : ends[i + 1]]
-            marked[own] = True
-            span = np.concatenate([np.arange(ends[j], ends[j + 1]) for j in rest]) if len(rest) < n // 2 else None
-            if span is None:  # most of them: in one go over all
-                both = np.add.reduceat(marked[number].astype(np.int64), ends[:-1])[rest]
-            else:
-                both = np.add.reduceat(marked[number[span]].astype(np.int64), np.concatenate([[0], np.cumsum(size[rest])[:-1]]))
-            marked[own] = False
-            linked = rest[OUT_OF * both >= SIMILAR * (size[i] + size[rest] - both)]
-            if len(linked):
-                _, once = np.unique(forest.root[linked], return_index=True)
-                out_a += [int(ids[i])] * len(once)
-                out_b += ids[linked[once]].tolist()
-                forest.join(i, linked)
-        if len(out_a) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-            out_a, out_b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-
-
-def _in_blocks(df: DataFrame, blocks: Column) -> DataFrame:
-    """Each row in every pair of its block with another block of its group; ``block`` is the pair's number. A pair of
-    blocks holds the pairs inside either as well. A group of one block is there once."""
-    out = df.withColumn("_blocks", blocks.cast("long")).withColumn("_own", F.pmod(F.xxhash64(F.lit("block"), "rep"), F.col("_blocks")))
-    out = out.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).where("_blocks = 1 or _own <> _other")
-    return out.withColumn("block", F.least("_own", "_other") * F.col("_blocks") + F.greatest("_own", "_other")).drop("_own", "_other", "_blocks")
+        node, similar = _members(t)
+        forest, found = Forest(len(node)), []
+        label = pc.fill_null(t["label"], -2).to_numpy()
+        for x in np.unique(label[label != -2]):
+            same = np.flatnonzero(label == x)
+            forest.join(int(same[0]), same)
+        asking = np.flatnonzero(asks)
+        _span(np.concatenate([asking, np.flatnonzero(~asks)]), similar, forest, found, len(asking))
+        if found:
+            edges.append((node[[i for i, _ in found]], node[[j for _, j in found]]))
+        if sum(len(x) for x, _ in edges) > 10_000:
+            yield _spanned_rows(edges, [])
+            edges = []
+    yield _spanned_rows(edges, [])
+
+
+def spanned(placed: DataFrame, sizes: DataFrame, about: DataFrame | None, work: Workspace, name: str, block: int) -> DataFrame:
+    """Links (a, b) that span what is similar in each group.
+
+    placed: grp, node and the members' other columns, or those in ``about`` by node. sizes: grp, members, blocks of the groups
+    that count. ``about`` is joined after ``sizes``, so that members of no such group don't carry it along.
+    """
+    numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    of = lambda word, n: F.pmod(F.xxhash64(F.lit(word), "node"), F.col(n))
+
+    def gather(groups: DataFrame) -> DataFrame:
+        m = placed.join(groups, "grp")
+        return (m if about is None else m.join(about, "node")).withColumn("_block", of("block", "blocks"))
+
+    draw = F.pmod(F.xxhash64(F.lit("pivot"), "node"), F.lit(1 << 30)) / float(1 << 30)
+    m = gather(sizes).withColumn("pivot", (F.col("blocks") > 1) & (draw < F.lit(float(PIVOTS)) / F.col("members")))
+    m = m.withColumn("block", F.explode(F.when(F.col("pivot"), numbers("blocks")).otherwise(F.array("_block"))))
+    m = m.withColumn("own", F.col("block") == F.col("_block")).drop("_block", "members")
+    first = work.put(m.repartition("grp", "block").sortWithinPartitions("grp", "block").mapInArrow(_inside, SPANNED), f"{name}-inside")
+    links, left = first.where("b is not null").select("a", "b"), first.where("b is null").select("grp", F.col("a").alias("node"), "label", F.lit(True).alias("asks"))
+    asked = left.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("parts"))
+    if asked.isEmpty():
+        return links
+    # members without a tree in common with the other blocks meet all of them; the others hang together (label -1)
+    m = gather(sizes.join(asked, "grp")).join(left, ["grp", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    m = m.withColumn("label", F.when(F.col("asks"), F.col("label")).otherwise(-1)).drop("members")
+    there = m.withColumn("part", F.explode(numbers("parts"))).withColumn("block", F.col("_block")).withColumn("asks", F.lit(False))
+    going = m.where("asks").withColumn("part", of("part", "parts")).withColumn("block", F.explode(numbers("blocks")))
+    both = there.unionByName(going).drop("_block", "blocks", "parts")
+    second = both.repartition("grp", "part", "block").sortWithinPartitions("grp", "part", "block").mapInArrow(_across, SPANNED)
+    return links.unionByName(work.put(second, f"{name}-across").select("a", "b"))
+
+
+@tidy
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(grp, node, n, sketch, words) from (text, print, grp, node, n, sketch): the sets of texts that have the class's fingerprint."""
+    for batch in batches:
+        at, words, size = [], [], 0
+        rest = batch.drop_columns(["text", "print"])
+        for i, (s, want) in enumerate(zip(shingle_sets(batch.column("text")), batch.column("print").to_pylist(), strict=True)):
+            if fingerprint(s) == want:
+                at.append(i)
+                words.append(s.tobytes())
+                size += len(words[-1])
+            if words and (size > 4 << 20 or i + 1 == len(batch)):
+                yield pa.RecordBatch.from_arrays([*rest.take(pa.array(at)).columns, pa.array(words, pa.binary())], names=["grp", "node", "n", "sketch", "words"])
+                at, words, size = [], [], 0
+
+
+def mark_of(text: Column) -> Column:
+    """128 bits by which the texts of one id are told apart."""
+    return F.unhex(F.concat(F.lpad(F.hex(F.xxhash64(text)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit("mark"), text)), 16, "0")))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, block: int, group_members: int, group_words: int) -> DataFrame:
+    """id, mark, n, component (smallest id reachable; null if none has an id) and grp (the component's number; null without words) of
+    each row."""
+    work = Workspace(docs.sparkSession)
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), mark_of(text).alias("mark"), text.alias("text"))
+    rows = work.put(texts.mapInArrow(_signatures, SIGNATURES), "signatures")
+    # numbers are given once, when the classes are written; any of a class's rows will do for its text
+    classes = rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("row"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    classes = work.put(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    held = classes.select(F.explode("keys").alias("grp"), "node")
+    shared = held.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1").withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("long"))
+    groups = components(spanned(held, shared, classes.select("node", "n", "sketch"), work, "near", block), work, "groups")
+    members = classes.join(groups, "node").select(F.col("component").alias("grp"), "node", "n", "sketch", "print", F.col("row.id").alias("id"), F.col("row.mark").alias("mark"))
+    members = work.put(members, "members").withColumnsRenamed({"id": "_id", "mark": "_mark"})
+    full = texts.join(members, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text", "print", "grp", "node", "n", "sketch")
+    sets = work.put(full.mapInArrow(_sets, "grp long, node long, n long, sketch binary, words binary"), "sets")
+    blocks = F.greatest(F.ceil(F.count("*") / F.lit(group_members)), F.ceil(F.sum("n") / F.lit(group_words)))
+    sizes = sets.groupBy("grp").agg(F.count("*").alias("members"), blocks.cast("long").alias("blocks"))
+    links = components(spanned(sets, sizes, None, work, "links", group_members), work, "links")
+    known = classes.select("print", "node", "least").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = known.groupBy("component").agg(F.min("least").alias("to"))
+    known = known.select("print", "component").join(least, "component").select("print", "to", F.col("component").alias("grp"))
+    some = rows.where("n > 0").select("id", "mark", "n", "print").join(known, "print").select("id", "mark", "n", F.col("to").alias("component"), "grp")
+    return some.unionByName(rows.where("n = 0").select("id", "mark", "n", F.col("id").alias("component"), F.lit(None).cast("long").alias("grp")))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, group_members: int = GROUP_MEMBERS, group_words: int = GROUP_WORDS) -> DataFrame:
@@ -223,43 +355,30 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Ids are 64-bit integers. A text of fewer than five words has its whole word sequence as its one shingle; null, empty and blank
     texts have none and link with nothing. Repeated rows have the same set, hence the same component; rows that repeat the
     smallest id are all kept, as nothing tells them apart, and rows that repeat an id with another text go by their own text. A
-    null id stands for nothing: its row gets the component of its set, or null if no other row has that set. An empty table
+    row with a null id links as any other; its component is null, and it is kept, if no row that it reaches has an id. An empty table
     gives an empty result. Other columns are not read.
     """
-    work = Workspace(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = work.put(texts.mapInArrow(_signatures, SIGNATURES), "signatures")
-    # the smallest id of each class; ids may repeat, so a class takes the signature of any of its rows
-    classes = rows.where("n > 0").groupBy("n", "print").agg(F.min("id").alias("rep"), F.min("sketch").alias("sketch"), F.min("keys").alias("keys"))
-    classes = work.put(classes.where("rep is not null"), "classes")
-    held = classes.select(F.explode("keys").alias("key"), "rep")
-    shared = held.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    met = held.join(shared, "key").join(classes.select("rep", "n", "sketch"), "rep")
-    blocks = F.ceil(F.col("m") / F.lit(block))
-    met = _in_blocks(met.select("key", "rep", "n", "sketch", "m"), blocks).drop("m")
-    near = met.repartition("key", "block").sortWithinPartitions("key", "block", "rep").mapInArrow(_close, "a long, b long")
-    groups = components(work.put(near.distinct(), "near"), work, "groups")
-    members = work.put(groups.join(classes.select(F.col("rep").alias("node"), "n", "sketch"), "node").select(F.col("node").alias("rep"), F.col("component").alias("grp"), "n", "sketch"), "members")
-    sizes = members.groupBy("grp").agg(F.count("*").alias("_m"), F.sum("n").alias("_w"))
-    blocks = F.greatest(F.ceil(F.col("_m") / F.lit(group_members)), F.ceil(F.col("_w") / F.lit(group_words)))
-    placed = _in_blocks(members.join(sizes.select("grp", blocks.alias("_k")), "grp"), F.col("_k")).drop("_k", "n")
-    known_ids = texts.where("id is not null")
-    if rows.where("id is not null").groupBy("id").agg(F.count("*").alias("c")).where("c > 1").isEmpty() is False:
-        known_ids = known_ids.dropDuplicates(["id", "text"])
-    full = placed.join(known_ids, F.col("rep") == F.col("id")).select("grp", "block", "rep", "sketch", "text")
-    links = full.repartition("grp", "block").sortWithinPartitions("grp", "block", "rep").mapInArrow(_confirm, "a long, b long")
-    found = components(work.put(links, "links"), work, "links")
-    known = classes.select("n", "print", "rep").join(found, F.col("rep") == F.col("node"), "left").select("n", "print", F.coalesce("component", "rep").alias("component"))
-    some = rows.where("n > 0").select("id", "n", "print").join(known, ["n", "print"], "left").select("id", "n", "component")
-    out = some.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"))
-
-
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that stay: one id of each group, with all their columns."""
-    (own,) = fresh(docs, "kept")
-    kept = near_groups(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias(own)).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
+    out = _grouped(docs, id_col, text_col, block, group_members, group_words)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, group_members: int = GROUP_MEMBERS, group_words: int = GROUP_WORDS) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each group, and every row that links with nothing.
+
+    Of a group the row with the smallest id stays; if several texts of the group have that id, the one with the smallest fingerprint, and
+    of rows that repeat both one. A group without any id, and a text without words, keeps a row in the same way.
+    """
+    id_, mark, own, many = fresh(docs, "id", "mark", "own", "many")
+    rows = _grouped(docs, id_col, text_col, block, group_members, group_words)
+    some = rows.where("n > 0").groupBy("grp", "id", "mark").agg(F.count("*").alias("many"))
+    row = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "many")).alias("row")
+    picked = some.groupBy("grp").agg(row).select("row.id", "row.mark", "row.many")
+    blank = rows.where("n = 0").select("id", "mark", F.lit(1).cast("long").alias("many")).distinct()
+    picked = Workspace(docs.sparkSession).put(picked.union(blank).toDF(id_, mark, many), "picked")
+    met = docs.withColumn(own, mark_of(F.col(text_col))).join(picked, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(mark)))
+    if picked.where(F.col(many) > 1).isEmpty():
+        return met.select(*docs.columns)
+    return met.where(F.col(many) == 1).select(*docs.columns).unionByName(met.where(F.col(many) > 1).dropDuplicates([id_, mark]).select(*docs.columns))
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
