@@ -2,12 +2,15 @@
 
 The index maps 64-bit keys of normalised texts to entries, one for each different text. Its directory doubles where
 buckets are overfull: a bucket is the range of keys with the same leading ``depth`` bits, and one with more than its capacity
-of keys is split into the two ranges one bit deeper, until all fit or a bucket holds a single key. An owner task
-handles whole buckets. Inside a bucket the texts of a key form a chain: texts are told apart by comparing their bytes
-(the grouping compares whole texts, hashes only route), and each different text is one entry of the chain.
+of keys is split into the two ranges one bit deeper, until all fit or a bucket holds a single key.
 
-Copies are combined where they are read, before any text moves, so a text that a third of all rows repeat reaches its owner as
-one row for each reading task.
+Texts go through the directory to the owner task of their bucket, which alone tells them apart: inside a bucket the texts of a
+key form a chain, compared by their bytes (the grouping compares whole texts, hashes only route), and each different text is one
+entry. Owners write their buckets, in order, to the index in the shared folder. Rows are then looked up in their bucket, by
+key and digest; where two entries of a key share a digest, by bytes.
+
+Keys of which more than a share of 1 / ``HOT`` of all rows are copies (fewer than HOT, however large the table) don't move
+row by row: they are combined where they are read, and their owner gets a row for each text and reading task.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ from pyspark.sql.window import Window
 from .common import Workspace, fresh, lower_ascii
 
 #: Keys in a bucket: at least so many, and so many that the directory keeps to about MOST_BUCKETS entries.
-CAPACITY, MOST_BUCKETS = 2_000, 1 << 15
+CAPACITY, MOST_BUCKETS = 100, 1 << 15
+#: A key is hot if more than this many rows, and more than 1 / HOT of all rows, have it.
+HOT_ROWS, HOT = 1_000, 10_000
 #: Bits by which the count of keys looks ahead each time a bucket may have to be split.
 LOOK_AHEAD = 8
 
@@ -47,6 +52,7 @@ def directory(keys: DataFrame, capacity: int) -> list[Bucket]:
     """
     done: list[Bucket] = []
     total = keys.count()
+    keys = keys.select("key")
     over: dict[Bucket, int] = {Bucket(0, 0): total}
     while over:
         depth = next(iter(over)).depth
@@ -71,18 +77,16 @@ def directory(keys: DataFrame, capacity: int) -> list[Bucket]:
 
 
 def with_bucket(df: DataFrame, buckets: list[Bucket]) -> DataFrame:
-    """Adds the bucket number of each key, through the directory: a slot for each value of the leading bits."""
-    depth = min(max(b.depth for b in buckets), 16)
-    slots = [i for i, b in enumerate(buckets) for _ in range(1 << max(0, depth - b.depth))] if all(b.depth <= depth for b in buckets) else None
-    if slots is None:  # deeper than a plain array: by the bucket of each depth
-        spark = df.sparkSession
-        deep = spark.createDataFrame([(b.depth, b.prefix - (1 << 64) if b.prefix >= 1 << 63 else b.prefix, i) for i, b in enumerate(buckets)], "_depth int, _prefix long, bucket int")
-        found = None
-        for d in sorted({b.depth for b in buckets}):
-            part = df.withColumn("_prefix", _leading(F.col("key"), d)).join(deep.where(F.col("_depth") == d).drop("_depth"), "_prefix").drop("_prefix")
-            found = part if found is None else found.unionByName(part)
-        return found
-    return df.withColumn("bucket", F.element_at(F.lit(slots), (_leading(F.col("key"), depth) + 1).cast("int")))
+    """Adds the bucket number of each key through the directory, a table with a row for each bucket (bounded by MOST_BUCKETS and
+    the capacity); one lookup for each depth that occurs, which are few, as keys are hashes."""
+    signed = lambda p: p - (1 << 64) if p >= 1 << 63 else p
+    table = df.sparkSession.createDataFrame([(b.depth, signed(b.prefix), i) for i, b in enumerate(buckets)], "_depth int, _prefix long, bucket int")
+    # a depth's prefixes cover only its buckets' keys, so just one of a key's prefixes is in the directory
+    deep = sorted({b.depth for b in buckets})
+    for d in deep:
+        own = F.broadcast(table.where(F.col("_depth") == d).select(F.col("_prefix").alias(f"_prefix{d}"), F.col("bucket").alias(f"_bucket{d}")))
+        df = df.withColumn(f"_own{d}", _leading(F.col("key"), d)).join(own, F.col(f"_own{d}") == F.col(f"_prefix{d}"), "left")
+    return df.withColumn("bucket", F.coalesce(*[F.col(f"_bucket{d}") for d in deep])).drop(*[f"{c}{d}" for d in deep for c in ("_own", "_prefix", "_bucket")])
 
 
 def text_key(norm: Column) -> Column:
@@ -93,7 +97,7 @@ def text_digest(norm: Column) -> Column:
     return F.unhex(F.sha2(norm, 256))
 
 
-def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Callable[[Column], Column] = lower_ascii, key: Callable[[Column], Column] = text_key, digest: Callable[[Column], Column] = text_digest, capacity: int = CAPACITY) -> DataFrame:
+def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Callable[[Column], Column] = lower_ascii, key: Callable[[Column], Column] = text_key, digest: Callable[[Column], Column] = text_digest, capacity: int = CAPACITY, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row for each row of ``docs``: id, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
     Null texts count as empty, and empty texts equal each other. Of equal texts the largest id stays; a null id stays only if
@@ -104,17 +108,29 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = normalise(F.coalesce(F.col(text_col), F.lit("")))
     texts = docs.select(F.col(id_col).alias("id"), text.alias("norm")).withColumn("key", key(F.col("norm")))
     rows = work.put(texts.select("id", "key", digest(F.col("norm")).alias("digest"), F.sha2("norm", 256).alias("sha")), "rows")
-    keys = work.put(rows.select("key").distinct(), "keys")
-    buckets = directory(keys, max(capacity, keys.count() // MOST_BUCKETS))
-    entries = with_bucket(texts, buckets).groupBy("bucket", "key", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    keys = work.put(rows.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    count, total = keys.agg(F.count("*"), F.sum("n")).first()
+    buckets = directory(keys, max(capacity, count // MOST_BUCKETS))
+    hot = F.broadcast(keys.where(F.col("n") > max(hot_rows, (total or 0) // HOT)).select("key", F.lit(True).alias("hot")))  # fewer than HOT
+    told = with_bucket(texts.join(hot, "key", "left"), buckets)
+    one = told.where("hot is null").select("bucket", "key", "norm", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
+    many = told.where("hot").groupBy("bucket", "key", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("n"))
+    owned = one.unionByName(many).repartition("bucket")
+    entries = owned.groupBy("bucket", "key", "norm").agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
     entries = entries.select("bucket", "key", digest(F.col("norm")).alias("digest"), "keep_id", "group_size")
     chain = Window.partitionBy("bucket", "key").orderBy("digest", "keep_id")
-    chained = entries.repartition("bucket").withColumn("chain", F.row_number().over(chain) - 1).withColumn("clash", F.coalesce(F.lag("digest").over(chain) == F.col("digest"), F.lit(False)) | F.coalesce(F.lead("digest").over(chain) == F.col("digest"), F.lit(False)))
-    index = work.put(chained.sortWithinPartitions("bucket", "key", "chain"), "index")
-    out = rows.join(index.where("not clash").select("key", "digest", "keep_id", "group_size"), ["key", "digest"]).select("id", "keep_id", "group_size", "sha")
-    clash = index.where("clash").select("key", "digest").distinct()
+    clash = F.coalesce(F.lag("digest").over(chain) == F.col("digest"), F.lit(False)) | F.coalesce(F.lead("digest").over(chain) == F.col("digest"), F.lit(False))
+    index = work.put(entries.withColumn("chain", F.row_number().over(chain) - 1).withColumn("clash", clash).sortWithinPartitions("bucket", "key", "chain"), "index")
+    asked = with_bucket(rows.join(hot, "key", "left"), buckets)
+    entry = index.where("not clash").select("bucket", "key", "digest", "keep_id", "group_size")
+    found = asked.where("hot is null").drop("hot").join(entry, ["bucket", "key", "digest"])
+    known = entry.join(hot, "key").drop("hot")  # as many as hot keys, unless those hold other texts as well
+    known = F.broadcast(known) if known.count() <= 2 * HOT else known
+    found = found.unionByName(asked.where("hot").drop("hot").join(known, ["bucket", "key", "digest"]))
+    out = found.select("id", "keep_id", "group_size", "sha")
+    clash = index.where("clash").select("bucket", "key", "digest").distinct()
     if not clash.isEmpty():  # different texts of one key and digest: their rows are looked up by their bytes
-        held = texts.withColumn("digest", digest(F.col("norm"))).join(clash, ["key", "digest"], "left_semi")
+        held = told.withColumn("digest", digest(F.col("norm"))).join(clash, ["bucket", "key", "digest"], "left_semi")
         exact = held.groupBy("norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         out = out.unionByName(held.join(exact, "norm").select("id", "keep_id", "group_size", F.sha2("norm", 256).alias("sha")))
     kept = F.col("id").eqNullSafe(F.col("keep_id"))

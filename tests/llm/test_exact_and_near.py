@@ -1,7 +1,8 @@
 import hashlib
 from collections import defaultdict
 
-from helpers import lower, rows, shingles, table
+import pytest
+from helpers import lower, rows, shingles, table, thue_morse
 from pyspark.sql import functions as F
 
 from lakeweave.llm import exact_dedup, near_dedup
@@ -27,7 +28,7 @@ def test_exact(spark):
 def test_exact_when_buckets_overflow_and_hashes_collide(spark):
     key = lambda c: F.pmod(F.length(c), F.lit(3)).cast("long")  # noqa: E731  three keys for all texts
     weak = lambda c: F.encode(F.substring(F.sha2(c, 256), 1, 1), "UTF-8")
-    for how in ({"capacity": 2}, {"capacity": 1, "key": key}, {"key": key, "digest": weak}):
+    for how in ({"capacity": 2}, {"capacity": 1, "key": key}, {"key": key, "digest": weak}, {"hot_rows": 1, "capacity": 2}, {"hot_rows": 3, "capacity": 1, "key": key, "digest": weak}):
         got = exact_dedup.group_copies(table(spark), **how)
         assert sorted(map(tuple, got.collect()), key=str) == expected_copies(rows())
 
@@ -43,6 +44,13 @@ def test_directory_splits_by_leading_bits(spark):
     assert sum(sizes.values()) == 500 and max(sizes.values()) <= 20 and sum(2.0**-b.depth for b in buckets) == 1
 
 
+def test_rows_are_found_through_the_directory_only(spark, monkeypatch):
+    whole = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, capacity: whole(keys, capacity)[1:])
+    got = exact_dedup.group_copies(table(spark), capacity=5)
+    assert 0 < len(got.collect()) < len(rows())  # those of the bucket that is gone are lost
+
+
 def test_dropping_copies(spark):
     got = exact_dedup.drop_copies(table(spark))
     assert got.columns == table(spark).columns
@@ -76,6 +84,69 @@ def test_near(spark):
     assert sorted(map(tuple, got.collect()), key=str) == expected_groups(rows())
 
 
+def plain_kept(data):
+    """How many rows of each group, and of texts without words, stay."""
+    groups = {c for (i, n, c, _) in expected_groups(data) if n and c is not None}
+    return len(groups), sum(not shingles(t) for _, t, _ in data)
+
+
+REPEATED = [(5, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15 w16 w17 w18 w19 w20", "s"), (5, "other words that nobody else has in any of these rows at all", "s"), (9, "other words that nobody else has in any of these rows at all", "s"), (None, "a text that only rows without ids have here", "s")]
+
+
+def test_near_with_repeated_ids(spark):
+    data = [(1, REPEATED[0][1] + " w21", "s"), *REPEATED, (5, REPEATED[0][1], "s"), (None, REPEATED[1][1].upper(), "s"), (7, "", "s"), (7, None, "s")]
+    got = near_dedup.near_groups(table(spark, data))
+    assert sorted(map(tuple, got.collect()), key=str) == expected_groups(data)
+    left = near_dedup.drop_near(table(spark, data))
+    assert left.columns == table(spark, data).columns
+    # one text of each group, the ids' other texts gone; blank ones stay
+    assert sorted(((r.doc_id, (r.text or "")[:5]) for r in left.collect()), key=str) == sorted([(1, "w1 w2"), (5, "other"), (None, "a tex"), (7, ""), (7, "")], key=str)
+
+
+def test_dropping_near_copies(spark):
+    data = [x for x in rows() if x[0] is not None]
+    left = near_dedup.drop_near(table(spark, data)).collect()
+    groups, blank = plain_kept(data)
+    assert sum(bool(shingles(r.text)) for r in left) == groups and sum(not shingles(r.text) for r in left) == blank
+    assert near_dedup.drop_near(table(spark, [])).collect() == []
+
+
+def test_near_keeps_what_a_polynomial_hash_confuses_apart(spark):
+    data = [(i, t, "s") for i, t in enumerate(thue_morse())]
+    assert sorted(map(tuple, near_dedup.near_groups(table(spark, data)).collect())) == expected_groups(data) == [(0, 1, 0, True), (1, 1, 1, True)]
+
+
+@pytest.mark.parametrize("how", [{}, {"block": 7, "group_members": 9, "group_words": 1500}, {"block": 20, "group_members": 16, "group_words": 100_000}])
+def test_large_families_in_small_blocks(spark, how):
+    import random
+
+    r, data = random.Random(3), []
+    for f in range(6):
+        base = [f"f{f - f % 2 if i < 80 else f}w{i}" for i in range(120)]  # every other family shares two thirds of its words with the one before
+        for c in range(40):
+            words = list(base)
+            for _ in range(c % 5):
+                words[r.randrange(120)] = f"e{f}x{c}x{r.random()}"
+            data.append((f * 1000 + c, " ".join(words), "s"))
+    got = near_dedup.near_groups(table(spark, data), **how)
+    assert sorted(map(tuple, got.collect()), key=str) == expected_groups(data)
+
+
+def test_no_pair_at_the_threshold_is_lost_by_its_sketches():
+    """100,000 pairs at similarity 0.75: each MinHash sample agrees with that chance."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    lost = 0
+    for _ in range(100):
+        one = rng.integers(0, 1 << 32, (1000, near_dedup.SAMPLES), dtype=np.uint32)
+        other = np.where(rng.random(one.shape) < 0.75, one, rng.integers(0, 1 << 32, one.shape, dtype=np.uint32))
+        a, b = (np.stack([near_dedup.odd_sketch(x) for x in y]) for y in (one, other))
+        flips = near_dedup._COUNT[a ^ b].sum(axis=1, dtype=np.int64)
+        lost += int((near_dedup._ESTIMATE[flips] < near_dedup.SKETCH_AT).sum())
+    assert lost == 0
+
+
 def test_near_in_small_blocks_and_empty(spark):
     got = near_dedup.near_groups(table(spark), block=3, group_members=4, group_words=200)
     assert sorted(map(tuple, got.collect()), key=str) == expected_groups(rows())
