@@ -1,14 +1,18 @@
 """Nearest neighbours by inner product through a hierarchical k-means tree, best bin first.
 
-* The tree is fitted on the driver to at most ``SAMPLE`` vectors (those whose id hashes lowest, repeats left out); every
-  vector is then sent down it to a leaf. The tree has about rows ** 0.4 leaves, at most ``SAMPLE / 16``, so it may be broadcast.
+* The tree is fitted on the driver to a sample (the vectors whose id hashes lowest, repeats left out): ``SAMPLE`` vectors, or 16 for
+  each leaf, at most ``SAMPLE_MOST``; every vector is then sent down it to a leaf. It has about 2 * rows ** 0.5 leaves, at
+  most ``SAMPLE_MOST / 16``, so its size is bounded and it may be broadcast.
 * A query walks the tree with a priority queue of nodes, the most promising first (inner product with the node's centre plus
   ``SPREAD`` times the query's length times the node's mean radius), and visits leaves in the order in which they come up.
 * How many leaves to visit is calibrated: the exact neighbours of up to ``CALIBRATION`` queries are found by brute
   force over all vectors, and visits are widened until ``RECALL`` of them stand in visited leaves. A query whose leaves hold
   too few vectors goes on until they hold enough.
-* Leaves are searched in blocks of vectors and of queries, so that neither a leaf with very many vectors nor one with very
-  many visits meets in one task; each block hands on its best k for each query.
+* Leaves that follow each other in the tree share a bin of about ``BLOCK`` vectors; a query goes to a bin once, with the
+  numbers of the leaves it visits there. A leaf of more vectors is cut into bins, and a bin that very many queries visit meets them
+  in parts, so no task holds more than a bin and ``ASKS`` queries; each hands on its best k for each query.
+* A matrix product picks candidates, with a margin for its rounding; those are scored again one by one, in an order of summation
+  that depends on nothing but the vectors' length. So scores and ties don't depend on how rows were dealt.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql.window import Window
 from .common import Workspace
 from .words import tidy
 
-SAMPLE, BRANCHES, CALIBRATION, RECALL, SPREAD, BLOCK = 20_000, 8, 128, 0.96, 0.5, 2048
+SAMPLE, SAMPLE_MOST, BRANCHES, CALIBRATION, RECALL, SPREAD, BLOCK, ASKS = 20_000, 200_000, 8, 128, 0.95, 0.5, 2048, 1024
 K, EVERY = 20, 20
 
 
@@ -131,24 +135,35 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best of a row: largest score first, ties to the smaller id."""
-    if len(scores) > 4 * k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        some = np.flatnonzero(scores >= edge)
-    else:
-        some = np.arange(len(scores))
-    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+def scores(query: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The inner product of a query with each row, each summed in the same order whatever the number of rows."""
+    return np.add.reduce(np.ascontiguousarray(x * query), axis=1)
 
 
-def _best(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _best(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, asked: np.ndarray | None = None, leaf: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, vec_id, score) of each query's k best rows but its own, ties to the smaller id.
+
+    With ``asked`` (query, leaf pairs as rows, sorted by leaf) and the rows' ``leaf`` (sorted) only rows of asked leaves count.
+    """
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i in range(0, len(queries), 256):
-        scores = queries[i : i + 256] @ x.T
-        for j, row in enumerate(scores):
-            other = np.flatnonzero(ids != query_ids[i + j])
-            at = other[_top(row[other], ids[other], k)]
-            out.append((np.full(len(at), query_ids[i + j]), ids[at], row[at]))
+    length = float(np.sqrt((x * x).sum(axis=1).max())) if len(x) else 0.0
+    rough = np.full((len(queries), len(x)), -np.inf) if asked is not None else queries @ x.T
+    if asked is not None:
+        starts = np.append(np.flatnonzero(np.append(True, leaf[1:] != leaf[:-1])), len(leaf)) if len(leaf) else np.zeros(1, np.int64)
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            lo, hi = np.searchsorted(asked[:, 1], [leaf[a], leaf[a] + 1])
+            who = asked[lo:hi, 0]
+            rough[who, a:b] = queries[who] @ x[a:b].T
+    for j, row in enumerate(rough):
+        row[ids == query_ids[j]] = -np.inf
+        found = int(np.isfinite(row).sum())
+        if not found:
+            continue
+        edge = np.partition(row, len(row) - min(k, found))[len(row) - min(k, found)]
+        some = np.flatnonzero((row >= edge - 1e-9 * length * float(np.linalg.norm(queries[j]))) & np.isfinite(row))
+        exact = scores(queries[j], x[some])
+        at = np.lexsort((ids[some], -exact))[:k]
+        out.append((np.full(len(at), query_ids[j]), ids[some[at]], exact[at]))
     return tuple(np.concatenate([o[c] for o in out]) if out else np.zeros(0, (np.int64, np.int64, float)[c]) for c in range(3))
 
 
@@ -179,7 +194,22 @@ def exact_neighbours(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: i
     return _ranked(rows.select("vec_id", "vector").mapInArrow(run, FOUND), k)
 
 
-def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query: Column | None = None, k: int = K, sample: int = SAMPLE, leaves: int | None = None, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+def bins(held: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first bin, number of bins) of each leaf: leaves that follow each other share a bin up to ``block`` vectors; a leaf with
+    more has bins of its own."""
+    first, many = np.zeros(len(held), np.int64), np.ones(len(held), np.int64)
+    at, size = 0, 0
+    for i, n in enumerate(held.tolist()):
+        if size and size + n > block:
+            at, size = at + 1, 0
+        first[i], many[i] = at, max(1, -(-n // block))
+        size += n
+        if many[i] > 1:
+            at, size = at + int(many[i]), 0
+    return first, many
+
+
+def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query: Column | None = None, k: int = K, sample: int = SAMPLE, leaves: int | None = None, recall: float = RECALL, block: int = BLOCK, asks: int = ASKS, stats: dict | None = None) -> DataFrame:
     """Each query's k nearest rows found: query_id, rank (from 1), vec_id, score (inner product in double precision).
 
     ``query``: condition on the table for a row to be a query (by default: id divisible by 20); every other row is its candidate,
@@ -187,22 +217,26 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     than k. Null and zero vectors, vectors with a null or non-finite component or of another length than most in the sample, and
     rows with a null id take no part, as query or candidate. A repeated id is a candidate once for each row and one query for each row
     with the results of the first. Tables without queries or candidates give an empty result. Other columns are not read.
+    ``stats`` is given leaves, visits and recall (of the calibration queries).
     """
     spark = table.sparkSession
     work = Workspace(spark)
     query = F.col(id_col) % EVERY == 0 if query is None else query
     rows = table.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(query, F.lit(False)).alias("is_query"))
+    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total = rows.count()
     if not total:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return nothing
+    leaves = max(1, min(SAMPLE_MOST // 16, round(2 * total**0.5))) if leaves is None else leaves
+    sample = min(SAMPLE_MOST, max(sample, 16 * leaves))
     order = F.pmod(F.xxhash64(F.lit("fit"), "vec_id"), F.lit(1 << 40))
-    drawn = rows.where(order < int((1 << 40) * min(1.0, 1.2 * sample / total))).orderBy(order, "vec_id").limit(sample).select("vector").collect()
-    lengths = np.array([len(r[0]) for r in drawn]) if drawn else np.array([len(rows.first()["vector"])])
+    drawn = rows.where(order < int((1 << 40) * min(1.0, 1.2 * sample / total))).orderBy(order, "vec_id").limit(sample).select("vector").toArrow().column(0).combine_chunks()
+    if not len(drawn):
+        drawn = rows.limit(1).select("vector").toArrow().column(0).combine_chunks()
+    lengths = np.diff(drawn.offsets.to_numpy())
     dim = int(np.bincount(lengths).argmax())
     rows = rows.where(F.size("vector") == dim)
-    x = np.unique(np.array([r[0] for r in drawn if len(r[0]) == dim] or [rows.first()["vector"]]), axis=0)
-    # more rows make more leaves, but fewer than in proportion: what queries hand on follows leaves visited
-    leaves = max(1, round(total**0.4) if leaves is None else leaves)
+    x = np.unique(_matrix(drawn.filter(pa.array(lengths == dim))), axis=0)
     tree = build_tree(x, max(16, -(-len(x) // leaves)) if leaves > 1 else len(x))
     sent = spark.sparkContext.broadcast(tree)
 
@@ -220,60 +254,70 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     asked = index.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")).dropDuplicates(["query_id"])
     some = asked.orderBy(F.xxhash64(F.lit("calibrate"), "query_id"), "query_id").limit(CALIBRATION).collect()
     if not some:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return nothing
     depth, reached = calibrate(index, tree, np.array([r["query_id"] for r in some]), np.array([r["query"] for r in some]), k, recall)
-    search.calibrated = {"leaves": tree.leaves, "visits": depth, "recall": reached}
-    blocks = np.maximum(1, -(-held // block))
-    ways = spark.sparkContext.broadcast((held, depth))
+    if stats is not None:
+        stats |= {"leaves": tree.leaves, "visits": depth, "recall": reached, "calibrated_on": [r["query_id"] for r in some]}
+    first, many = bins(held, block)
+    ways = spark.sparkContext.broadcast((held, depth, first, many))
 
     @tidy
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, visits = ways.value
+        """A row for each query and bin that it visits, with the numbers of the leaves."""
+        counts, visits, at_bin, n_bins = ways.value
         for batch in batches:
-            if not len(batch):
-                continue
-            at, leaves = [], []
-            for i, q in enumerate(_matrix(batch.column("query"))):
-                n = 0
+            at, to, which = [], [], []
+            for i, q in enumerate(_matrix(batch.column("query")) if len(batch) else ()):
+                n, mine = 0, {}
                 for v, leaf in enumerate(sent.value.visits(q)):
                     if v >= visits and n > k:
                         break
-                    at.append(i)
-                    leaves.append(leaf)
+                    for b in range(at_bin[leaf], at_bin[leaf] + n_bins[leaf]):
+                        mine.setdefault(b, []).append(leaf)
                     n += counts[leaf]
-            yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(at)), batch.column("query").take(pa.array(at)), pa.array(leaves, pa.int32())], names=["query_id", "query", "leaf"])
-
-    steps = work.put(asked.mapInArrow(walk, "query_id long, query array<double>, leaf int"), "steps")
-    asks = np.ones(tree.leaves, np.int64)
-    for r in steps.groupBy("leaf").agg(F.count("*").alias("n")).collect():
-        asks[r["leaf"]] = -(-r["n"] // block)
-    n_blocks, n_asks = (F.element_at(F.lit([int(v) for v in c]), F.col("leaf") + 1) for c in (blocks, asks))
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    place = lambda c, n: F.pmod(F.xxhash64(F.lit("block"), F.col(c)), n).cast("int")
-    vectors = index.withColumn("vb", place("vec_id", n_blocks)).withColumn("qb", every(n_asks))
-    asking = steps.withColumn("qb", place("query_id", n_asks)).withColumn("vb", every(n_blocks))
-    both = vectors.select("leaf", "vb", "qb", F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "vector").unionByName(asking.select("leaf", "vb", "qb", F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.col("query").alias("vector")))
+                at += [i] * len(mine)
+                to += list(mine)
+                which += list(mine.values())
+            if at:
+                yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(at)), batch.column("query").take(pa.array(at)), pa.array(to, pa.int32()), pa.array(which, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "leaves"])
+
+    steps = work.put(asked.mapInArrow(walk, "query_id long, query array<double>, bin int, leaves array<int>"), "steps")
+    parts = np.ones(int((first + many).max()), np.int64)
+    for r in steps.groupBy("bin").agg(F.count("*").alias("n")).collect():  # a row for each bin
+        parts[r["bin"]] = -(-r["n"] // asks)
+    leaf_ways = F.broadcast(spark.createDataFrame([(i, int(a), int(m)) for i, (a, m) in enumerate(zip(first, many, strict=True))], "leaf int, _first int, _many int"))
+    bin_ways = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(parts)], "bin int, _parts int"))
+    place = lambda c, n: F.pmod(F.xxhash64(F.lit("block"), F.col(c)), F.col(n)).cast("int")
+    vectors = index.join(leaf_ways, "leaf").withColumn("bin", F.col("_first") + place("vec_id", "_many")).join(bin_ways, "bin").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    vectors = vectors.select("bin", "part", "leaf", F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "vector", F.lit(None).cast("array<int>").alias("leaves"))
+    asking = steps.join(bin_ways, "bin").withColumn("part", place("query_id", "_parts"))
+    both = vectors.unionByName(asking.select("bin", "part", F.lit(-1).alias("leaf"), F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.col("query").alias("vector"), "leaves"))
 
     @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, q_ids, q = None, [], []
+        now, q_ids, q, want, asked_leaves = None, [], [], [], None
         for batch in batches:
             if not len(batch):
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("leaf", "vb", "qb", "kind")], axis=1)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("bin", "part", "kind")], axis=1)
             edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                key, kind = tuple(keys[a, :3].tolist()), keys[a, 3]
+                key, kind = tuple(keys[a, :2].tolist()), keys[a, 2]
                 part = batch.slice(a, b - a)
                 if key != now:
-                    now, q_ids, q = key, [], []
+                    now, q_ids, q, want, asked_leaves = key, [], [], [], None
                 if kind == 0:
                     q_ids.append(part.column("id").to_numpy())
                     q.append(_matrix(part.column("vector")))
+                    want += part.column("leaves").to_pylist()
                 elif q:
-                    yield _found(_best(np.concatenate(q), np.concatenate(q_ids), _matrix(part.column("vector")), part.column("id").to_numpy(), k))
+                    if asked_leaves is None:
+                        pairs = np.array([(i, leaf) for i, mine in enumerate(want) for leaf in mine], np.int64).reshape(-1, 2)
+                        asked_leaves = pairs[np.argsort(pairs[:, 1], kind="stable")]
+                        every, own = np.concatenate(q), np.concatenate(q_ids)
+                    yield _found(_best(every, own, _matrix(part.column("vector")), part.column("id").to_numpy(), k, asked_leaves, part.column("leaf").to_numpy()))
 
-    found = both.repartition("leaf", "vb", "qb").sortWithinPartitions("leaf", "vb", "qb", "kind").mapInArrow(meet, FOUND)
+    found = both.repartition("bin", "part").sortWithinPartitions("bin", "part", "kind", "leaf").mapInArrow(meet, FOUND)
     return _ranked(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
