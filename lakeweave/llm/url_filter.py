@@ -11,7 +11,12 @@ held between ``MIN_STRENGTH`` and ``MAX_STRENGTH``. A host is blocked if the low
 minus ``z`` standard deviations of the beta posterior, is over ``bad_rate``. A host without labelled pages has its domain's
 posterior, a domain without any its suffix's, so every page is judged.
 
-Hosts' counts are aggregated before anything is joined; a host that holds a third of all pages is one row of counts.
+Hosts' counts are aggregated before anything is joined and written once; a host that holds a third of all pages is one row of
+counts. Pages meet their host's verdict by broadcast where the host has over 1 / ``HOT`` of all pages (fewer than HOT hosts do), the
+others by a join on the host.
+
+Outcomes are taken from the table of labels by page id: labels and pages are numbered alike, a page's id being that of the document
+that was extracted from it. Labels of ids that are no page's say nothing here.
 """
 
 from __future__ import annotations
@@ -21,11 +26,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, Workspace
 
 #: (action, host, path); a rule fits its host and all subdomains if the url's path starts with the rule's.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_STRENGTH, MAX_STRENGTH, Z, BAD_RATE = 1.0, 1000.0, 1.0, 0.5
+#: A host is hot if more than 1 / HOT of all pages are its own, and more than HOT_PAGES.
+HOT_PAGES, HOT = 1_000, 10_000
 #: Second-level labels under which names are registered (fixed values; only with two-letter suffixes).
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 
@@ -76,7 +83,8 @@ def _strength(groups: DataFrame, name: str) -> DataFrame:
 
 def reputations(hosts: DataFrame, bad_rate: float = BAD_RATE, z: float = Z) -> DataFrame:
     """From (host, n, b), a row for each host with b bad ones of n labelled pages (both may be 0): host, rate (posterior mean),
-    bound (its lower bound), action."""
+    bound (its lower bound), action, and any other columns as they are."""
+    others = [c for c in hosts.columns if c not in ("host", "n", "b")]
     hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain")))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
@@ -86,7 +94,7 @@ def reputations(hosts: DataFrame, bad_rate: float = BAD_RATE, z: float = Z) -> D
     mid = domains.join(top, "suffix").select("domain", ((F.col("b") + F.col("_prior") * F.col("s1")) / (F.col("n") + F.col("s1"))).alias("_prior"), "s2")
     low = hosts.join(mid, "domain").withColumn("_size", F.col("n") + F.col("s2")).withColumn("rate", (F.col("b") + F.col("_prior") * F.col("s2")) / F.col("_size"))
     low = low.withColumn("bound", F.col("rate") - z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("_size") + 1)))
-    return low.select("host", "rate", "bound", F.when(F.col("bound") > bad_rate, "block").otherwise("allow").alias("action"))
+    return low.select("host", *others, "rate", "bound", F.when(F.col("bound") > bad_rate, "block").otherwise("allow").alias("action"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id", bad: Column | None = None, rules: Sequence[tuple[str, str, str]] = RULES, bad_rate: float = BAD_RATE, z: float = Z) -> DataFrame:
@@ -98,15 +106,21 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
     the empty host's reputation. Without any labels every host is allowed. Repeated pages count as often as they stand there.
     An empty table gives an empty result. Other columns of ``pages`` are not read.
     """
+    work = Workspace(pages.sparkSession)
     bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1) if bad is None else bad
     url = F.col(url_col)
-    rows = pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = work.put(pages.select(F.col(id_col).alias("_id"), host_of(url).alias("host"), path_of(url).alias("path")), "rows")
     known = labels.select(F.col(label_id).alias("_id"), F.coalesce(bad, F.lit(False)).cast("int").alias("_bad")).groupBy("_id").agg(F.max("_bad").alias("_bad"))
-    counts = rows.select("_id", "host").join(known, "_id", "left").groupBy("host").agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("b"))
-    known_hosts = reputations(counts, bad_rate, z)
+    counts = rows.select("_id", "host").join(known, "_id", "left").groupBy("host").agg(F.count("*").alias("pages"), F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("b"))
+    counts = work.put(counts, "counts")
+    total = counts.agg(F.sum("pages")).first()[0] or 0
+    hosts = work.put(reputations(counts, bad_rate, z), "hosts")  # keeps pages, the host's number of them
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
-    out = rows.withColumn("rule", rule).withColumn("_action", action).join(known_hosts, "host", "left")
-    return out.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("_action", "action", F.lit("allow")).alias("verdict"), "rate", "bound")
+    judged = rows.withColumn("rule", rule).withColumn("_action", action)
+    is_hot = F.col("pages") > max(HOT_PAGES, total // HOT)
+    hot, cold = hosts.where(is_hot).drop("pages"), hosts.where(~is_hot).drop("pages")
+    met = judged.join(F.broadcast(hot), "host").unionByName(judged.join(F.broadcast(hot.select("host")), "host", "left_anti").join(cold, "host", "left"))
+    return met.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("_action", "action", F.lit("allow")).alias("verdict"), "rate", "bound")
 
 
 def op10_url_filter(spark, sf_dir: str) -> DataFrame:
