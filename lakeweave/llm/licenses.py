@@ -21,37 +21,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: License -> its statements (fixed values: names and opening words of public licenses).
+#: The disclaimer that several short licenses share (fixed value).
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES "
+    "OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_TWO = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce "
+    "the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_THREE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+def _free_software(kind: str, version: str) -> str:
+    return f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+
+
+#: License -> its statements (fixed values: names, notices and, where they are short, whole texts of public licenses).
 TEMPLATES: Mapping[str, Sequence[str]] = {
+    "AGPL-3.0": ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.", _free_software("Affero General Public License", "3")),
     "Apache-2.0": (
+        "Apache-2.0",
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Released under the BSD 3-Clause License.",
+    "BSD-2-Clause": ("BSD-2-Clause", "Released under the BSD 2-Clause License.", f"{_BSD} {_BSD_TWO} {_AS_IS}"),
+    "BSD-3-Clause": ("BSD-3-Clause", _BSD, "Released under the BSD 3-Clause License.", f"{_BSD} {_BSD_TWO} {_BSD_THREE} {_AS_IS}"),
+    "CC-BY-4.0": ("CC-BY-4.0", "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "CC-BY-NC-4.0": ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-ND-4.0": ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "CC-BY-SA-4.0": ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC0-1.0": ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
+    "GPL-2.0": ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", _free_software("General Public License", "2")),
+    "GPL-3.0": ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", _free_software("General Public License", "3")),
+    "ISC": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
     ),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "CC0-1.0": ("Dedicated to the public domain under CC0 1.0.",),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
+    "LGPL-3.0": ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3.", _free_software("Lesser General Public License", "3")),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    "MPL-2.0": ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+        "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 #: Between the words of a signal: blanks, or a line's end and what opens the next line of a comment.
 _GAP = r"(?:[ \t]+|[ \t]*\r?\n[^A-Za-z0-9\n]*)"
 #: What makes a sentence or line a candidate; in both Java's and Python's notation.
-SIGNAL = r"(?i)licen[cs]e|copyright|permission is hereby|redistribution and use|public domain|creative commons|\bcc by\b|\bcc0\b".replace(" ", _GAP)
+SIGNAL = r"(?i:licen[cs]e|copyright|permission is hereby|permission to use|redistribution and use|public domain|creative commons|\bcc[ -]by\b|\bcc0\b|\b[al]?gpl-\d|\bmpl-\d|\bapache-\d|\bbsd-\d|\bfree software\b)".replace("[ -]", "\0").replace(" ", _GAP).replace("\0", f"(?:-|{_GAP})")
 #: A statement is confirmed if at most this share of its words is missing or replaced, and no number or kind of license is.
 MISSING = 0.2
 #: Words that may not differ (fixed values), besides numbers.
-TELLING = frozenset("apache bsd mit gnu gpl lesser mozilla cc cc0 by nc sa nd attribution noncommercial sharealike".split())
+TELLING = frozenset("affero agpl apache attribution bsd by cc cc0 endorse gnu gpl isc lesser lgpl mit mozilla mpl nc nd noderivatives noncommercial sa sharealike".split())
 _LOWER = {i: i + 32 for i in range(65, 91)}  # keeps every character's place
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 _PART = re.compile(r"[^\n.!?]*(?:[.!?](?!\s)[^\n.!?]*)*(?:[.!?]+|\n|$)")
@@ -100,6 +140,11 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+@functools.lru_cache(1000)
+def statement_words(statement: str) -> tuple[str, ...]:
+    return tuple(words(statement))
+
+
 def differences(statement: str, block: str) -> tuple[list[str], list[str]]:
     """(words of the statement that the block lacks, words that the block has in their places)."""
     a, b = words(statement), words(block)
@@ -117,10 +162,11 @@ def tells(word: str) -> bool:
 
 
 def confirmed(statement: str, lacks: list[str], has: list[str]) -> bool:
-    return len(lacks) <= MISSING * len(words(statement)) and len(has) <= MISSING * len(words(statement)) and not any(map(tells, lacks)) and not any(map(tells, has))
+    most = MISSING * len(statement_words(statement))
+    return len(lacks) <= most and len(has) <= most and not any(map(tells, lacks)) and not any(map(tells, has))
 
 
-def possible(statement: list[str], there: set[str]) -> bool:
+def possible(statement: Sequence[str], there: set[str]) -> bool:
     """Whether a text of these words can confirm the statement at all."""
     absent = [w for w in statement if w not in there]
     return len(absent) <= MISSING * len(statement) and not any(map(tells, absent))
@@ -131,7 +177,7 @@ def places(statement: str, text: list[str]) -> Iterator[tuple[int, int, list[str
 
     Column by column, the least number of words missing or in between for each opening part of the statement, from any first word.
     """
-    a = words(statement)
+    a = statement_words(statement)
     if not possible(a, set(text)):
         return
     n, never = len(a), 1 << 30
@@ -167,24 +213,25 @@ def find_statements(text: str, templates: tuple[tuple[str, tuple[str, ...]], ...
     """(start, stop, license, missing words, other words) of all confirmed statements that touch a candidate block.
 
     A statement may be wrapped over lines and a sentence may end inside it ('v. 2.0'), so a block is searched with the words around
-    it, as many as the longest statement can take.
+    it, as many as the statement can take. One that stands inside a longer one (a license's first words, say) is left out.
     """
     found = list(_WORD.finditer(text.translate(_LOWER)))
-    starts, stops = [m.start() for m in found], [m.end() for m in found]
-    reach = math.ceil((1 + MISSING) * max(len(words(s)) for _, many in templates for s in many))
+    starts, stops, there = [m.start() for m in found], [m.end() for m in found], [m[0] for m in found]
     blocks = [(start, start + len(block)) for start, block in candidate_blocks(text)]
-    windows = []
-    for start, stop in blocks:
-        windows.append((max(0, bisect.bisect_right(stops, start) - reach), min(len(found), bisect.bisect_left(starts, stop) + reach)))
+    edges = [(bisect.bisect_right(stops, start), bisect.bisect_left(starts, stop)) for start, stop in blocks]
     out, k = [], 0
-    for low, high in _joined(windows):
-        there = [m[0] for m in found[low:high]]
-        for name, many in templates:
-            for s in many:
-                out += [(starts[low + i], stops[low + j - 1], name, lacks, has) for i, j, lacks, has in places(s, there)]
-    out.sort()
-    touching = []
+    for name, many in templates:
+        for s in many:
+            reach = math.ceil((1 + MISSING) * len(statement_words(s)))
+            for low, high in _joined([(max(0, a - reach), min(len(found), b + reach)) for a, b in edges]):
+                out += [(starts[low + i], stops[low + j - 1], name, lacks, has) for i, j, lacks, has in places(s, there[low:high])]
+    out.sort(key=lambda f: (f[0], -f[1], f[2], f[3]))
+    whole: list[tuple[int, int, str, list[str], list[str]]] = []
     for f in out:
+        if not whole or f[1] > whole[-1][1] or f[:2] == whole[-1][:2]:
+            whole.append(f)
+    touching = []
+    for f in whole:
         while k < len(blocks) and blocks[k][1] <= f[0]:
             k += 1
         if k < len(blocks) and blocks[k][0] < f[1]:
