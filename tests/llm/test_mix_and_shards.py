@@ -57,6 +57,51 @@ def test_copies_and_empty_mixes(spark):
     assert [tuple(r) for r in mixing.mix_documents(table(spark, [(1, None, "a"), (2, "", None)])).select("doc_id", "size", "target", "taken").orderBy("doc_id").collect()] == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
 
 
+def test_copies_come_near_the_targets(spark):
+    r = __import__("random").Random(6)
+    data = [(i, " ".join(["w"] * r.randint(1, 60)), "abc"[i % 7 % 3]) for i in range(400)]
+    sizes = Counter()
+    for _, t, s in data:
+        sizes[s] += len(t.split())
+    kept = Counter()
+    for x in mixing.mixed_copies(table(spark, data), block_words=16).collect():
+        kept[x.source] += len(x.text.split())
+    want = expected_targets(sizes)
+    # whole documents: no further off than a few that stand at block borders
+    assert all(abs(kept[s] - want[s]) <= 0.05 * want[s] + 60 for s in want)
+
+
+def plain_winner(key, children):
+    """The child with the least -ln(u) / weight, u from the hash of key and name as Spark chains them."""
+    import math
+
+    import xxhash
+
+    def draw(name, weight):
+        h = xxhash.xxh64_intdigest(name.encode(), xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42))
+        return -math.log(((h >> 11) + 0.5) / (1 << 53)) / weight
+
+    return min((c for c in children if c[1] > 0), key=lambda c: draw(*c))[0]
+
+
+def plain_descent(key, tree):
+    weight = lambda node: sum(map(weight, node.values())) if isinstance(node, dict) else node
+    path, node = [], tree
+    while isinstance(node, dict):
+        names = {"/".join(map(str, [*(path or [""]), name])): name for name in node}
+        last = names[plain_winner(key, [(p, weight(node[n])) for p, n in names.items()])]
+        path, node = [*path, last], node[last]
+    return last
+
+
+def test_descent_equals_a_plain_one(spark):
+    tree = sharding.balanced_tree(40)
+    uneven = {"r1": {"a": {0: 1.0, 1: 3.0}, "b": {2: 2.0}}, "r2": {"c": {3: 2.0, 4: 0.0}}}
+    for t in (tree, sharding.grown_tree(tree), uneven):
+        got = sharding.place(spark.range(-50, 250), "id", t).collect()
+        assert [r.shard for r in got] == [plain_descent(r.id, t) for r in got]
+
+
 def test_shards(spark):
     got = sharding.shard_documents(table(spark)).collect()
     slots = defaultdict(list)

@@ -45,6 +45,32 @@ def test_neighbours(spark, n):
     assert ann.search(df.limit(0)).collect() == []
 
 
+def test_scores_and_ties_do_not_depend_on_blocks(spark):
+    _, df = vectors(spark, 600)
+    got = [sorted(map(tuple, ann.search(d, block=b, asks=a, leaves=8).collect())) for d, b, a in ((df, 7, 3), (df.repartition(5), 2000, 1000), (df.repartition(1), 64, 7))]
+    assert got[0] == got[1] == got[2]
+    rng = np.random.default_rng(2)
+    x, q = rng.normal(size=(300, 64)), rng.normal(size=64)
+    assert all((ann.scores(q, x[a:b]) == ann.scores(q, x)[a:b]).all() for a, b in ((0, 1), (0, 7), (5, 300), (100, 228)))
+
+
+def test_recall_on_queries_that_did_not_set_the_depth(spark):
+    x, df = vectors(spark, 6000)
+    stats = {}
+    got = {}
+    for r in ann.search(df, stats=stats).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    others = [q for q in got if q not in set(stats["calibrated_on"])]
+    hits = [len(got[q] & {v for v, _ in brute(x, q, 20)}) for q in others]
+    assert len(others) > 100 and sum(hits) / (20 * len(hits)) >= 0.9
+    assert stats["visits"] < stats["leaves"] / 2  # clustered vectors need few leaves
+
+
+def test_bins_hold_neighbouring_leaves_up_to_a_block():
+    first, many = ann.bins(np.array([5, 5, 30, 4, 0, 4, 4]), 10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 4, 5] and many.tolist() == [1, 1, 3, 1, 1, 1, 1]
+
+
 def labelled():
     r, words = random.Random(2), [f"w{i}" for i in range(200)]
     data = []
@@ -73,6 +99,49 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).collect() == []
 
 
+def test_logits_equal_a_plain_computation():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, toxicity.BUCKETS, (n, 3)) for n in (0, 1, 2, 5, 40)]
+    model = toxicity.train(texts, np.array([0, 1, 0, 1, 0]), epochs=1)
+    for t in texts:
+        z, at, f = model.offset, 0, 0
+        for width, count in toxicity.FILTERS:
+            for j in range(count):
+                responses = []
+                for w in range(len(t)):
+                    total = 0.0
+                    for k in range(width):
+                        if w + k < len(t):
+                            total += sum(float(model.project[b, at + k * count + j]) for b in t[w + k])
+                    responses.append(total)
+                z += max(max(responses, default=0.0) + float(model.bias[f]), 0) * float(model.weight[f])
+                f += 1
+            at += width * count
+        assert model.logits(t, np.array([0, len(t)]))[0] == pytest.approx(z, abs=1e-4)
+    many = model.logits(np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    assert many == pytest.approx([model.logits(t, np.array([0, len(t)]))[0] for t in texts], abs=1e-5)
+
+
+def test_log_ratios_are_plain_counts():
+    texts, y = [np.array([[1, 2, 3], [1, 4, 5]]), np.array([[1, 6, 7]]), np.array([[8, 9, 10]])], np.array([1, 0, 0])
+    got = toxicity.log_ratios(texts, y)
+    assert got[2] == pytest.approx(np.log(((1 + 1 / 3) / 2) / ((0 + 2 / 3) / 3))) and got[8] == 0 and got[100] == 0
+    assert got[1] == pytest.approx(np.log(((1 + 1 / 3) / 2) / ((1 + 2 / 3) / 3)))
+
+
+def test_fitting_is_bounded_by_rows_and_words_and_takes_repeats(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda docs, y, real=toxicity.train: seen.append((len(docs), sum(map(len, docs)))) or real(docs, y, epochs=1))
+    data = [x[:3] for x in labelled()[:100]]
+    docs = table(spark, data + data[:20] + [(None, None, "s")])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, _, y in labelled()[:100]] + [(0, 1, 0)], "doc_id long, quality int, toxic int")
+    toxicity.fit(spark, docs, labels, sample=15)
+    assert seen[0][0] <= 60  # 30 ids, each perhaps twice
+    seen.clear()
+    toxicity.fit(spark, docs, labels, sample_words=300)
+    assert seen and all(words <= 600 for _, words in seen)
+
+
 def test_calibration_cuts_in_the_gap():
     x, y = np.array([0.1, 0.2, 3.0, 5.0]), np.array([0, 0, 1, 1])
     assert toxicity.calibrate(x, y, np.ones(4)) == pytest.approx(1.6)
@@ -105,6 +174,35 @@ def test_reputation_shrinks(spark):
     assert got["unseen.evil.net"].rate > 0.5 and 0.2 < got["new.fine.net"].rate < 0.7
 
 
+def test_blocked_hosts_equal_the_sql(spark):
+    import duckdb
+
+    pages, labels = [], []
+    for h, n, bad in [("a.evil.net", 50, 48), ("b.evil.net", 30, 29), ("c.evil.net", 3, 2), ("www.fine.net", 80, 1), ("x.co.uk", 9, 9), ("example.org", 20, 20), ("10.0.0.1", 40, 40), ("q.com", 12, 6)]:
+        for j in range(n):
+            labels.append((len(pages), int(j >= bad), j % 2 if j < bad else 0))
+            pages.append((len(pages), f"http://{h}/{'de' if j % 3 else 'p'}/{j}"))
+    pages += [(len(pages) + i, u) for i, u in enumerate(["http://new.evil.net/", "http://new.fine.net/", None, "nothing", "http://lone.io/"])]
+    dp, dl = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = url_filter.judge(dp, dl).select("page_id", "host", "path", "rule", "verdict").collect()
+    c = duckdb.connect()
+    p, k = dp.toArrow(), dl.toArrow()
+    c.register("pages", p)
+    c.register("labels", k)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, c.execute(url_filter.SQL).fetchall()), key=lambda r: r[0])
+    by_method = {r.host for r in got if r.rule is None and r.verdict == "block"}
+    assert {"a.evil.net", "b.evil.net", "new.evil.net", "10.0.0.1"} <= by_method and not by_method & {"www.fine.net", "new.fine.net", "lone.io"}  # the empty host shares the empty suffix with addresses
+
+
+def test_hot_hosts_get_their_verdict_too(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://{'hot' if i % 3 else f'h{i}'}.net/{i}") for i in range(200)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 1) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
+    plain = sorted(map(tuple, url_filter.judge(pages, labels).collect()))
+    monkeypatch.setattr(url_filter, "HOT_PAGES", 10)
+    monkeypatch.setattr(url_filter, "HOT", 10)
+    assert sorted(map(tuple, url_filter.judge(pages, labels).collect())) == plain and len(plain) == 200
+
+
 def test_domains(spark):
     hosts = ["a.b.example.com", "x.co.uk", "a.x.co.uk", "localhost", "10.0.0.1", "u@a.example.com:80", ""]
     df = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", url_filter.domain_of(url_filter.F.col("h")).alias("d"))
@@ -120,6 +218,43 @@ def test_licenses(spark):
     assert licenses.scan_licenses(table(spark, [])).collect() == []
 
 
+def plain_place(statement, text):
+    """The best place of a statement: of all stretches of the text, the one with the fewest differing words that may differ."""
+    a, best = licenses.words(statement), None
+    for i in range(len(text)):
+        for j in range(i + 1, min(len(text), i + 2 * len(a) + 2) + 1):
+            lacks, has = licenses.differences(statement, " ".join(text[i:j]))
+            if licenses.confirmed(statement, lacks, has) and (best is None or len(lacks) + len(has) < best):
+                best = len(lacks) + len(has)
+    return best
+
+
+def test_places_equal_a_search_of_all_stretches():
+    r = random.Random(8)
+    short = [s for many in licenses.TEMPLATES.values() for s in many if len(licenses.words(s)) <= 12]
+    found = 0
+    for _ in range(60):
+        s = r.choice(short)
+        words = licenses.words(s)
+        for _ in range(r.randrange(3)):
+            k = r.randrange(len(words))
+            words[k : k + 1] = r.choice([[], ["foo"], [words[k], "bar"], ["mit"], ["7"]])
+        text = ["some"] * r.randrange(4) + words + ["more"] * r.randrange(4)
+        want, got = plain_place(s, text), list(licenses.places(s, text))
+        assert (want is None) == (not got), (s, text)
+        if got:
+            found += 1
+            assert min(len(lacks) + len(has) for _, _, lacks, has in got) == want
+    assert found > 15
+
+
+def test_whole_texts_and_short_names_and_repeated_rows(spark):
+    t = licenses.TEMPLATES
+    data = [(1, "Copyright 2020 X\n\n" + t["BSD-2-Clause"][-1], "s"), (2, "Copyright 2020 X\n\n" + t["BSD-3-Clause"][-1], "s"), (3, "SPDX: GPL-3.0", "s"), (4, "It is Apache-2.0 code.", "s"), (5, t["GPL-2.0"][-1], "s"), (6, t["AGPL-3.0"][-1], "s"), (7, t["ISC"][-1], "s"), (8, "Mit der Bahn, GPL und so weiter", "s"), (3, "SPDX: GPL-3.0", "s"), (3, "SPDX: GPL-3.0", "s"), (9, "See http://www.apache.org/licenses/LICENSE-2.0 there", "s")]
+    got = licenses.scan_licenses(table(spark, data)).collect()
+    assert sorted((r.doc_id, r.license) for r in got if r.license) == [(1, "BSD-2-Clause"), (2, "BSD-3-Clause"), (3, "GPL-3.0"), (3, "GPL-3.0"), (3, "GPL-3.0"), (4, "Apache-2.0"), (5, "GPL-2.0"), (6, "AGPL-3.0"), (7, "ISC")]
+
+
 def test_each_statement_is_confirmed_on_itself(spark):
     data = [(f"{a}{s}{b}", name) for name, many in licenses.TEMPLATES.items() for s in many for a, b in (("", ""), ("Some text. ", "\nMore."))]
     data.append(("One.\nThis Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. Two.", "MPL-2.0"))

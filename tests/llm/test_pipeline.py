@@ -23,6 +23,16 @@ def test_stages_chain(spark):
         assert r.doc_id in ids and r.decoded_sha256 == hashlib.sha256((seen[r.doc_id] or "").encode()).hexdigest() and r.n_tokens == len(r.ids)
 
 
+def test_run_equals_its_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(found, docs.schema) if (found := docs.collect()) else docs
+        docs = stage(spark, docs, SF)
+    digest = lambda df: sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in df.collect())
+    got = digest(corpus_pipeline.run(spark, SF))
+    assert got == digest(docs) and got
+
+
 def test_exact_sql_agrees(spark):
     import duckdb
 
