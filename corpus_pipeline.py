@@ -37,7 +37,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and digests of the ids and of the decoded bytes."""
     import public_tokenizers
 
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), digests=True).drop("decoded")
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decoded=False, digests=True)
 
 
 STAGES = [("toxicity", reject_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mixing", mix_sources), ("bpe", encode)]
