@@ -14,6 +14,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hash bins of two-level numbering; fixed, so that the table of bin totals has a fixed size for each group.
 BINS = 4096
+HOT_ROWS, HOT = 1_000, 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -70,6 +71,21 @@ def bin_of(key: Column, bins: int = BINS) -> Column:
     return F.shiftrightunsigned(key, 64 - (bins - 1).bit_length()).cast("int")
 
 
+def by_key(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` joined with ``groups``, which has one row for each key and in ``count`` how many of ``rows`` have it.
+
+    A key is hot if more than HOT_ROWS rows and more than 1 / HOT of all that are counted have it; so fewer than HOT are. Hot
+    keys meet their rows by broadcast, where the rows are; the others by a shuffle in which no key weighs much.
+    """
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) > max(HOT_ROWS, total // HOT)
+    hot = F.broadcast(groups.where(is_hot))
+    if hot.isEmpty():
+        return rows.join(groups, key)
+    cold = rows.join(F.broadcast(groups.where(is_hot).select(key)), key, "left_anti").join(groups.where(~is_hot), key)
+    return rows.join(hot, key).unionByName(cold)
+
+
 def running_start(df: DataFrame, group: list[str], key: str, order: list[str], amount: Column, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``amount`` over the rows that stand before a row in its group, by ``key`` (a 64-bit
     hash) and ``order``.

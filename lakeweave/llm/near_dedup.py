@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, fresh
+from .common import Workspace, by_key, fresh
 from .components import components
 from .words import _table, shingle_sets, tidy
 
@@ -112,25 +112,63 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n, prints, keys, sketches = [], [], [], []
 
 
-def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
-    """The rows of each value of ``by``, which stand together."""
-    held: list[pa.RecordBatch] = []
+Rows = dict[str, np.ndarray]
+
+
+def _arrays(batch: pa.RecordBatch) -> Rows:
+    out: Rows = {}
+    for name, column in zip(batch.schema.names, batch.columns, strict=True):
+        if name == "sketch":
+            ends = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+            out[name] = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(column), BITS // 8)
+        elif name == "words":
+            out[name] = np.empty(len(column), object)
+            out[name][:] = column.to_pylist()
+        else:
+            out[name] = pc.fill_null(column, -2).to_numpy(zero_copy_only=False) if name == "label" else column.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _cut(rows: Rows, at) -> Rows:
+    return {c: x[at] for c, x in rows.items()}
+
+
+def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[Rows, Rows | None]]:
+    """(rows, None) of each value of ``by``, which stand together; or (first rows, second rows) of many values that have just two."""
+    held: list[Rows] = []
     last = None
     for batch in batches:
         if not len(batch):
             continue
-        keys = np.stack([batch.column(c).to_numpy() for c in by], axis=1)
-        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        bounds = [0, *edges.tolist(), len(batch)]
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            key = tuple(keys[a].tolist())
-            if held and key != last:
-                yield pa.Table.from_batches(held)
+        rows = _arrays(batch)
+        keys = np.stack([rows[c] for c in by], axis=1)
+        bounds = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(batch)]])
+        if held and last != tuple(keys[0].tolist()):
+            yield _whole(held), None
+            held = []
+        start = 0
+        if held:
+            held.append(_cut(rows, slice(0, bounds[1])))
+            start = 1
+            if len(bounds) > 2:
+                yield _whole(held), None
                 held = []
-            held.append(batch.slice(a, b - a))
-            last = key
+        inner = bounds[start:-1]  # the last one may go on in the next batch
+        if len(inner):
+            size = np.diff(inner)
+            two = inner[:-1][size == 2]
+            if len(two):
+                yield _cut(rows, two), _cut(rows, two + 1)
+            for i in np.flatnonzero(size != 2).tolist():
+                yield _cut(rows, slice(inner[i], inner[i + 1])), None
+            held = [_cut(rows, slice(inner[-1], bounds[-1]))]
+        last = tuple(keys[-1].tolist())
     if held:
-        yield pa.Table.from_batches(held)
+        yield _whole(held), None
+
+
+def _whole(parts: list[Rows]) -> Rows:
+    return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
 
 
 class Forest:
@@ -144,10 +182,6 @@ class Forest:
         self.root[np.isin(self.root, roots)] = roots[0]
 
 
-def _fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
-
-
 class Similar:
     """Members of a block: which of those after i are near it, by sketch and, if there are sets, by the sets themselves."""
 
@@ -177,10 +211,18 @@ class Similar:
         return rest[OUT_OF * both >= SIMILAR * (size[i] + size[rest] - both)]
 
 
-def _members(t: pa.Table) -> tuple[np.ndarray, Similar]:
-    size, sketch = t["n"].to_numpy(), _fixed(t["sketch"], BITS // 8)
-    sets = [np.frombuffer(x, np.uint64) for x in t["words"].to_pylist()] if "words" in t.column_names else None
-    return t["node"].to_numpy(), Similar(size, sketch, sets)
+def _members(rows: Rows) -> Similar:
+    sets = [np.frombuffer(x, np.uint64) for x in rows["words"]] if "words" in rows else None
+    return Similar(rows["n"], rows["sketch"], sets)
+
+
+def _each(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[Rows]:
+    for one, other in _runs(batches, by):
+        if other is None:
+            yield one
+        else:
+            for i in range(len(one["node"])):
+                yield _whole([_cut(one, slice(i, i + 1)), _cut(other, slice(i, i + 1))])
 
 
 def _span(order: np.ndarray, similar: Similar, forest: Forest, found: list[tuple[int, int]], until: int | None = None) -> None:
@@ -208,19 +250,27 @@ def _spanned_rows(edges: list[tuple[np.ndarray, np.ndarray]], left: list[tuple[i
     return pa.RecordBatch.from_arrays([pa.array(a), b, grp, label], names=["a", "b", "grp", "label"])
 
 
+def _pairs(one: Rows, other: Rows) -> tuple[np.ndarray, np.ndarray]:
+    """Links of groups of two members, by their sketches, all at once."""
+    a, b = one["n"], other["n"]
+    flips = _COUNT[one["sketch"] ^ other["sketch"]].sum(axis=1, dtype=np.int64)
+    linked = (a * OUT_OF >= SIMILAR * b) & (b * OUT_OF >= SIMILAR * a) & (_ESTIMATE[flips] >= SKETCH_AT) & (one["node"] != other["node"])
+    return one["node"][linked], other["node"][linked]
+
+
 @tidy
 def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans each block of a group together with the group's pivots."""
     edges: list[tuple[np.ndarray, np.ndarray]] = []
     left: list[tuple[int, np.ndarray, np.ndarray]] = []
-    for t in _runs(batches, ["grp", "block"]):
-        if len(t) < 2 and not t["blocks"][0].as_py() > 1:
-            continue
-        node, at = np.unique(t["node"].to_numpy(), return_index=True)  # a class may have come from several rows
-        t = t.take(pa.array(at))
-        pivot = t["pivot"].to_numpy(zero_copy_only=False).astype(bool)
-        own = t["own"].to_numpy(zero_copy_only=False).astype(bool)
-        node, similar = _members(t)
+
+    def span(t: Rows) -> None:
+        whole = t["blocks"][0] <= 1
+        if len(t["node"]) < 2 and whole:
+            return
+        _, at = np.unique(t["node"], return_index=True)  # a class may have come from several rows
+        t = _cut(t, at)
+        node, pivot, similar = t["node"], t["pivot"], _members(t)
         forest, found = Forest(len(node)), []
         common = np.flatnonzero(pivot)
         _span(common, similar, forest, found)  # the same in every block of the group
@@ -229,14 +279,24 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _span(np.concatenate([common, np.flatnonzero(~pivot)]), similar, forest, found)
         if found:
             edges.append((node[[i for i, _ in found]], node[[j for _, j in found]]))
-        if t["blocks"][0].as_py() > 1:
-            away = np.flatnonzero(own & (forest.root != forest.root[anchor])) if anchor >= 0 else np.flatnonzero(own)
+        if not whole:
+            away = np.flatnonzero(t["own"] & (forest.root != forest.root[anchor])) if anchor >= 0 else np.flatnonzero(t["own"])
             hangs = {int(forest.root[p]): int(node[p]) for p in common[::-1]}
             if len(away):
-                left.append((t["grp"][0].as_py(), node[away], np.array([hangs.get(int(r), -1) for r in forest.root[away]], np.int64)))
+                left.append((int(t["grp"][0]), node[away], np.array([hangs.get(int(r), -1) for r in forest.root[away]], np.int64)))
+
+    for one, other in _runs(batches, ["grp", "block"]):
+        if other is None:
+            span(one)
+        elif "words" not in one and (one["blocks"] <= 1).all():
+            edges.append(_pairs(one, other))
+        else:
+            for i in range(len(one["node"])):
+                span(_whole([_cut(one, slice(i, i + 1)), _cut(other, slice(i, i + 1))]))
         if sum(len(x) for x, _ in edges) + sum(len(x) for _, x, _ in left) > 10_000:
             yield _spanned_rows(edges, left)
-            edges, left = [], []
+            edges.clear()
+            left.clear()
     yield _spanned_rows(edges, left)
 
 
@@ -244,17 +304,14 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans members that are left over (``asks``) with those of a block; who hangs on the same pivot is linked already."""
     edges: list[tuple[np.ndarray, np.ndarray]] = []
-    for t in _runs(batches, ["grp", "part", "block"]):
-        asks = t["asks"].to_numpy(zero_copy_only=False).astype(bool)
-        order = np.lexsort((~asks, t["node"].to_numpy()))
-        _, first = np.unique(t["node"].to_numpy()[order], return_index=True)  # one that asks may be of this block
-        t = t.take(pa.array(order[first]))
-        asks = t["asks"].to_numpy(zero_copy_only=False).astype(bool)
-        if not asks.any() or len(t) < 2:
+    for t in _each(batches, ["grp", "part", "block"]):
+        order = np.lexsort((~t["asks"], t["node"]))
+        _, first = np.unique(t["node"][order], return_index=True)  # one that asks may be of this block
+        t = _cut(t, order[first])
+        node, asks, label = t["node"], t["asks"], t["label"]
+        if not asks.any() or len(node) < 2:
             continue
-        node, similar = _members(t)
-        forest, found = Forest(len(node)), []
-        label = pc.fill_null(t["label"], -2).to_numpy()
+        similar, forest, found = _members(t), Forest(len(node)), []
         for x in np.unique(label[label != -2]):
             same = np.flatnonzero(label == x)
             forest.join(int(same[0]), same)
@@ -278,7 +335,7 @@ def spanned(placed: DataFrame, sizes: DataFrame, about: DataFrame | None, work:
     of = lambda word, n: F.pmod(F.xxhash64(F.lit(word), "node"), F.col(n))
 
     def gather(groups: DataFrame) -> DataFrame:
-        m = placed.join(groups, "grp")
+        m = by_key(placed, groups, "grp", "members")
         return (m if about is None else m.join(about, "node")).withColumn("_block", of("block", "blocks"))
 
     draw = F.pmod(F.xxhash64(F.lit("pivot"), "node"), F.lit(1 << 30)) / float(1 << 30)
@@ -329,22 +386,24 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, block: int, group_memb
     texts = docs.select(F.col(id_col).cast("long").alias("id"), mark_of(text).alias("mark"), text.alias("text"))
     rows = work.put(texts.mapInArrow(_signatures, SIGNATURES), "signatures")
     # numbers are given once, when the classes are written; any of a class's rows will do for its text
-    classes = rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("row"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    classes = rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.count("*").alias("copies"), F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("row"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
     classes = work.put(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     held = classes.select(F.explode("keys").alias("grp"), "node")
     shared = held.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1").withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("long"))
+    shared = work.put(shared, "shared")
     groups = components(spanned(held, shared, classes.select("node", "n", "sketch"), work, "near", block), work, "groups")
     members = classes.join(groups, "node").select(F.col("component").alias("grp"), "node", "n", "sketch", "print", F.col("row.id").alias("id"), F.col("row.mark").alias("mark"))
     members = work.put(members, "members").withColumnsRenamed({"id": "_id", "mark": "_mark"})
     full = texts.join(members, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text", "print", "grp", "node", "n", "sketch")
     sets = work.put(full.mapInArrow(_sets, "grp long, node long, n long, sketch binary, words binary"), "sets")
     blocks = F.greatest(F.ceil(F.count("*") / F.lit(group_members)), F.ceil(F.sum("n") / F.lit(group_words)))
-    sizes = sets.groupBy("grp").agg(F.count("*").alias("members"), blocks.cast("long").alias("blocks"))
+    sizes = work.put(sets.groupBy("grp").agg(F.count("*").alias("members"), blocks.cast("long").alias("blocks")), "sizes")
     links = components(spanned(sets, sizes, None, work, "links", group_members), work, "links")
-    known = classes.select("print", "node", "least").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = known.groupBy("component").agg(F.min("least").alias("to"))
-    known = known.select("print", "component").join(least, "component").select("print", "to", F.col("component").alias("grp"))
-    some = rows.where("n > 0").select("id", "mark", "n", "print").join(known, "print").select("id", "mark", "n", F.col("to").alias("component"), "grp")
+    known = classes.select("print", "copies", "node", "least").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = known.groupBy("component").agg(F.min("least").alias("to"), F.count("*").alias("_classes"))
+    known = by_key(known.select("print", "copies", "component"), work.put(least, "least"), "component", "_classes")
+    known = work.put(known.select("print", "copies", F.col("to").alias("component"), F.col("component").alias("grp")), "known")
+    some = by_key(rows.where("n > 0").select("id", "mark", "n", "print"), known, "print", "copies").select("id", "mark", "n", "component", "grp")
     return some.unionByName(rows.where("n = 0").select("id", "mark", "n", F.col("id").alias("component"), F.lit(None).cast("long").alias("grp")))
 
 
