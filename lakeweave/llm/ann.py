@@ -11,6 +11,9 @@
 * Leaves that follow each other in the tree share a bin of about ``BLOCK`` vectors; a query goes to a bin once, with the
   numbers of the leaves it visits there. A leaf of more vectors is cut into bins, and a bin that very many queries visit meets them
   in parts, so no task holds more than a bin and ``ASKS`` queries; each hands on its best k for each query.
+* Before it goes to the bins, a query is held against the sample: with a sample of s of n vectors its k-th best score is, by all
+  odds, over that of rank k s / n + 3 (k s / n) ** 0.5 + 4 in the sample. Bins hand on nothing below that, so what is handed on
+  doesn't grow with the number of bins. Should a query find fewer than k this way, it is asked again without.
 * A matrix product picks candidates, with a margin for its rounding; those are scored again one by one, in an order of summation
   that depends on nothing but the vectors' length. So scores and ties don't depend on how rows were dealt.
 """
@@ -140,10 +143,11 @@ def scores(query: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.add.reduce(np.ascontiguousarray(x * query), axis=1)
 
 
-def _best(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, asked: np.ndarray | None = None, leaf: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _best(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, asked: np.ndarray | None = None, leaf: np.ndarray | None = None, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query_id, vec_id, score) of each query's k best rows but its own, ties to the smaller id.
 
-    With ``asked`` (query, leaf pairs as rows, sorted by leaf) and the rows' ``leaf`` (sorted) only rows of asked leaves count.
+    With ``asked`` (query, leaf pairs as rows, sorted by leaf) and the rows' ``leaf`` (sorted) only rows of asked leaves count;
+    with ``floor`` (for each query) only scores from there on.
     """
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     length = float(np.sqrt((x * x).sum(axis=1).max())) if len(x) else 0.0
@@ -160,7 +164,8 @@ def _best(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.nda
         if not found:
             continue
         edge = np.partition(row, len(row) - min(k, found))[len(row) - min(k, found)]
-        some = np.flatnonzero((row >= edge - 1e-9 * length * float(np.linalg.norm(queries[j]))) & np.isfinite(row))
+        margin = 1e-9 * length * float(np.linalg.norm(queries[j]))
+        some = np.flatnonzero((row >= max(edge, -np.inf if floor is None else floor[j]) - margin) & np.isfinite(row))
         exact = scores(queries[j], x[some])
         at = np.lexsort((ids[some], -exact))[:k]
         out.append((np.full(len(at), query_ids[j]), ids[some[at]], exact[at]))
@@ -236,7 +241,8 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     lengths = np.diff(drawn.offsets.to_numpy())
     dim = int(np.bincount(lengths).argmax())
     rows = rows.where(F.size("vector") == dim)
-    x = np.unique(_matrix(drawn.filter(pa.array(lengths == dim))), axis=0)
+    seen = _matrix(drawn.filter(pa.array(lengths == dim)))
+    x = np.unique(seen, axis=0)
     tree = build_tree(x, max(16, -(-len(x) // leaves)) if leaves > 1 else len(x))
     sent = spark.sparkContext.broadcast(tree)
 
@@ -259,14 +265,17 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     if stats is not None:
         stats |= {"leaves": tree.leaves, "visits": depth, "recall": reached, "calibrated_on": [r["query_id"] for r in some]}
     first, many = bins(held, block)
-    ways = spark.sparkContext.broadcast((held, depth, first, many))
+    seen = seen[: SAMPLE].astype(np.float32)
+    share = k * min(1.0, len(seen) / total)
+    floor_rank = int(np.ceil(share + 3 * share**0.5)) + 4
+    ways = spark.sparkContext.broadcast((held, depth, first, many, seen))
 
     @tidy
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each query and bin that it visits, with the numbers of the leaves."""
-        counts, visits, at_bin, n_bins = ways.value
+        """A row for each query and bin that it visits, with the numbers of the leaves and the score below which nothing counts."""
+        counts, visits, at_bin, n_bins, sample_rows = ways.value
         for batch in batches:
-            at, to, which = [], [], []
+            at, to, which, least = [], [], [], []
             for i, q in enumerate(_matrix(batch.column("query")) if len(batch) else ()):
                 n, mine = 0, {}
                 for v, leaf in enumerate(sent.value.visits(q)):
@@ -275,13 +284,16 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
                     for b in range(at_bin[leaf], at_bin[leaf] + n_bins[leaf]):
                         mine.setdefault(b, []).append(leaf)
                     n += counts[leaf]
+                near = sample_rows @ q.astype(np.float32)
+                floor = float(np.partition(near, len(near) - floor_rank)[len(near) - floor_rank]) if len(near) > floor_rank else -np.inf
                 at += [i] * len(mine)
                 to += list(mine)
                 which += list(mine.values())
+                least += [floor - 1e-4 * abs(floor)] * len(mine)  # the sample is held in single precision
             if at:
-                yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(at)), batch.column("query").take(pa.array(at)), pa.array(to, pa.int32()), pa.array(which, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "leaves"])
+                yield pa.RecordBatch.from_arrays([batch.column("query_id").take(pa.array(at)), batch.column("query").take(pa.array(at)), pa.array(to, pa.int32()), pa.array(which, pa.list_(pa.int32())), pa.array(least, pa.float64())], names=["query_id", "query", "bin", "leaves", "floor"])
 
-    steps = work.put(asked.mapInArrow(walk, "query_id long, query array<double>, bin int, leaves array<int>"), "steps")
+    steps = work.put(asked.mapInArrow(walk, "query_id long, query array<double>, bin int, leaves array<int>, floor double"), "steps")
     parts = np.ones(int((first + many).max()), np.int64)
     for r in steps.groupBy("bin").agg(F.count("*").alias("n")).collect():  # a row for each bin
         parts[r["bin"]] = -(-r["n"] // asks)
@@ -289,13 +301,11 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     bin_ways = F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(parts)], "bin int, _parts int"))
     place = lambda c, n: F.pmod(F.xxhash64(F.lit("block"), F.col(c)), F.col(n)).cast("int")
     vectors = index.join(leaf_ways, "leaf").withColumn("bin", F.col("_first") + place("vec_id", "_many")).join(bin_ways, "bin").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    vectors = vectors.select("bin", "part", "leaf", F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "vector", F.lit(None).cast("array<int>").alias("leaves"))
-    asking = steps.join(bin_ways, "bin").withColumn("part", place("query_id", "_parts"))
-    both = vectors.unionByName(asking.select("bin", "part", F.lit(-1).alias("leaf"), F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.col("query").alias("vector"), "leaves"))
+    vectors = vectors.select("bin", "part", "leaf", F.lit(1).alias("kind"), F.col("vec_id").alias("id"), "vector", F.lit(None).cast("array<int>").alias("leaves"), F.lit(0.0).alias("floor"))
 
     @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, q_ids, q, want, asked_leaves = None, [], [], [], None
+        now, q_ids, q, want, floors, asked_leaves = None, [], [], [], [], None
         for batch in batches:
             if not len(batch):
                 continue
@@ -305,20 +315,30 @@ def search(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
                 key, kind = tuple(keys[a, :2].tolist()), keys[a, 2]
                 part = batch.slice(a, b - a)
                 if key != now:
-                    now, q_ids, q, want, asked_leaves = key, [], [], [], None
+                    now, q_ids, q, want, floors, asked_leaves = key, [], [], [], [], None
                 if kind == 0:
                     q_ids.append(part.column("id").to_numpy())
                     q.append(_matrix(part.column("vector")))
                     want += part.column("leaves").to_pylist()
+                    floors.append(part.column("floor").to_numpy())
                 elif q:
                     if asked_leaves is None:
                         pairs = np.array([(i, leaf) for i, mine in enumerate(want) for leaf in mine], np.int64).reshape(-1, 2)
                         asked_leaves = pairs[np.argsort(pairs[:, 1], kind="stable")]
                         every, own = np.concatenate(q), np.concatenate(q_ids)
-                    yield _found(_best(every, own, _matrix(part.column("vector")), part.column("id").to_numpy(), k, asked_leaves, part.column("leaf").to_numpy()))
-
-    found = both.repartition("bin", "part").sortWithinPartitions("bin", "part", "kind", "leaf").mapInArrow(meet, FOUND)
-    return _ranked(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+                    yield _found(_best(every, own, _matrix(part.column("vector")), part.column("id").to_numpy(), k, asked_leaves, part.column("leaf").to_numpy(), np.concatenate(floors)))
+
+    def ask(some: DataFrame, name: str) -> DataFrame:
+        asking = some.join(bin_ways, "bin").withColumn("part", place("query_id", "_parts"))
+        both = vectors.unionByName(asking.select("bin", "part", F.lit(-1).alias("leaf"), F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.col("query").alias("vector"), "leaves", "floor"))
+        return work.put(_ranked(both.repartition("bin", "part").sortWithinPartitions("bin", "part", "kind", "leaf").mapInArrow(meet, FOUND), k), name)
+
+    found = ask(steps, "found")
+    full = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= min(k, total))
+    rest = steps.join(full, "query_id", "left_anti").withColumn("floor", F.lit(float("-inf")))
+    if not rest.isEmpty():  # their k-th best is under the floor, or there are fewer than k in all
+        found = found.join(full, "query_id", "left_semi").unionByName(ask(rest, "found-again"))
+    return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def calibrate(index: DataFrame, tree: Tree, ids: np.ndarray, queries: np.ndarray, k: int, recall: float) -> tuple[int, float]:
