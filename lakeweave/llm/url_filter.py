@@ -12,8 +12,7 @@ minus ``z`` standard deviations of the beta posterior, is over ``bad_rate``. A h
 posterior, a domain without any its suffix's, so every page is judged.
 
 Hosts' counts are aggregated before anything is joined and written once; a host that holds a third of all pages is one row of
-counts. Pages meet their host's verdict by broadcast where the host has over 1 / ``HOT`` of all pages (fewer than HOT hosts do), the
-others by a join on the host.
+counts, and its pages meet their verdict where they are (see ``by_key``).
 
 Outcomes are taken from the table of labels by page id: labels and pages are numbered alike, a page's id being that of the document
 that was extracted from it. Labels of ids that are no page's say nothing here.
@@ -26,13 +25,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, Workspace
+from .common import UPPER, Workspace, by_key
 
 #: (action, host, path); a rule fits its host and all subdomains if the url's path starts with the rule's.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_STRENGTH, MAX_STRENGTH, Z, BAD_RATE = 1.0, 1000.0, 1.0, 0.5
-#: A host is hot if more than 1 / HOT of all pages are its own, and more than HOT_PAGES.
-HOT_PAGES, HOT = 1_000, 10_000
 #: Second-level labels under which names are registered (fixed values; only with two-letter suffixes).
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 
@@ -113,13 +110,9 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col:
     known = labels.select(F.col(label_id).alias("_id"), F.coalesce(bad, F.lit(False)).cast("int").alias("_bad")).groupBy("_id").agg(F.max("_bad").alias("_bad"))
     counts = rows.select("_id", "host").join(known, "_id", "left").groupBy("host").agg(F.count("*").alias("pages"), F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("b"))
     counts = work.put(counts, "counts")
-    total = counts.agg(F.sum("pages")).first()[0] or 0
-    hosts = work.put(reputations(counts, bad_rate, z), "hosts")  # keeps pages, the host's number of them
+    hosts = work.put(reputations(counts, bad_rate, z), "hosts")
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
-    judged = rows.withColumn("rule", rule).withColumn("_action", action)
-    is_hot = F.col("pages") > max(HOT_PAGES, total // HOT)
-    hot, cold = hosts.where(is_hot).drop("pages"), hosts.where(~is_hot).drop("pages")
-    met = judged.join(F.broadcast(hot), "host").unionByName(judged.join(F.broadcast(hot.select("host")), "host", "left_anti").join(cold, "host", "left"))
+    met = by_key(rows.withColumn("rule", rule).withColumn("_action", action), hosts, "host", "pages")
     return met.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("_action", "action", F.lit("allow")).alias("verdict"), "rate", "bound")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import rows, table
 
-from lakeweave.llm import ann, licenses, toxicity, url_filter
+from lakeweave.llm import ann, common, licenses, toxicity, url_filter
 
 VECTORS = "vec_id long, embedding array<float>, label int, id long, score double, query_id long, rank int"
 
@@ -198,8 +198,8 @@ def test_hot_hosts_get_their_verdict_too(spark, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://{'hot' if i % 3 else f'h{i}'}.net/{i}") for i in range(200)], "page_id long, url string")
     labels = spark.createDataFrame([(i, 0, 1) for i in range(0, 200, 2)], "doc_id long, quality int, toxic int")
     plain = sorted(map(tuple, url_filter.judge(pages, labels).collect()))
-    monkeypatch.setattr(url_filter, "HOT_PAGES", 10)
-    monkeypatch.setattr(url_filter, "HOT", 10)
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    monkeypatch.setattr(common, "HOT", 10)
     assert sorted(map(tuple, url_filter.judge(pages, labels).collect())) == plain and len(plain) == 200
 
 
