@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .errors import CastingError
+from .functions import clock
 
 log = logging.getLogger("lakeweave")
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
@@ -90,7 +91,7 @@ def checked_cast(value: Column, a: T.DataType, b: T.DataType, name: str) -> Colu
     """A cast that fails, instead of changing a value, where Spark's own would truncate or round."""
     if a == b:
         return value
-    out = value.cast(b)
+    out = clock.cast(value, a, b)  # times through UTC, whatever the session's zone
     if isinstance(a, _FLOAT) and isinstance(b, _INT):
         top = F.lit(float(2 ** (_BITS[type(b)] - 1)))
         fits = (value >= -top) & (value < top) & (F.floor(value) == value)

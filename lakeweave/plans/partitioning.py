@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import ValidationError
+from ..functions import clock
 from ..functions.murmur3 import murmur3
 
 log = logging.getLogger("lakeweave")
@@ -158,18 +159,18 @@ def hints_for(partition: str | Transform | Sequence[str | Transform] | None) ->
 
 
 def value_of(t: Transform, kind: T.DataType, column: Column | None = None) -> Column:
-    """The partition value of a row; null for null."""
+    """The partition value of a row; null for null. The session's time zone has no say: zoned times are taken in UTC."""
     c = F.col(f"`{t.column}`") if column is None else column
     if t.kind == "identity":
-        return c
-    if t.kind == "year":
-        return F.year(c) - 1970
-    if t.kind == "month":
-        return (F.year(c) - 1970) * 12 + F.month(c) - 1
-    if t.kind == "day":
-        return F.unix_date(c.cast("date"))
+        return F.unix_micros(c) if isinstance(kind, T.TimestampType) else c  # as text it would be local time
     if t.kind == "hour":
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(3_600_000_000)).cast("int")
+        return clock.floor_div(clock.micros(c, kind), clock.HOUR).cast("int")
+    if t.kind in TEMPORAL:
+        days = clock.floor_div(F.unix_micros(c), clock.DAY).cast("int") if isinstance(kind, T.TimestampType) else F.unix_date(c.cast("date"))
+        if t.kind == "day":
+            return days
+        date = F.date_from_unix_date(days)
+        return F.year(date) - 1970 if t.kind == "year" else (F.year(date) - 1970) * 12 + F.month(date) - 1
     if t.kind == "bucket":
         return F.pmod(murmur3(c, kind).bitwiseAND(F.lit(0x7FFFFFFF)), F.lit(t.param)).cast("int")
     if isinstance(kind, (T.StringType, T.BinaryType)):
@@ -181,9 +182,23 @@ def value_of(t: Transform, kind: T.DataType, column: Column | None = None) -> Co
 
 
 def value_type(t: Transform, kind: T.DataType) -> T.DataType:
+    if t.kind == "identity" and isinstance(kind, T.TimestampType):
+        return T.LongType()
     return kind if t.kind in ("identity", "truncate") else T.IntegerType()
 
 
+def literal(value, kind: T.DataType) -> Column:
+    """A Python value (or a constant column) as a column's type. Times without a zone are UTC where the column has a zone, and times
+    with a zone their UTC wall clock where it has none."""
+    if isinstance(value, Column):
+        return value.cast(kind)
+    if isinstance(value, dt.datetime) and isinstance(kind, _TIMES):
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+        wall = F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+        return clock.cast(wall, T.TimestampNTZType(), kind)
+    return F.lit(value).cast(kind)
+
+
 def with_values(df: DataFrame, spec: Iterable[PartitionField]) -> DataFrame:
     return df.withColumns({f.folder: value_of(f.transform, df.schema[f.transform.column].dataType) for f in spec})
 
@@ -191,19 +206,19 @@ def with_values(df: DataFrame, spec: Iterable[PartitionField]) -> DataFrame:
 def prune(t: Transform, kind: T.DataType, op: str, value) -> Column | None:
     """What a comparison of a column with a literal says about its partition value; None if nothing. Transforms but bucket keep
     order, so bounds carry over, with equality where a partition may straddle them."""
-    folder = F.col(f"`{FOLDER}{t.field}`")
-    if op == "=" and value is None:
+    if value is None:
         return None
-    spark_value = F.lit(value).cast(kind)
-    if isinstance(kind, T.TimestampNTZType) and isinstance(value, dt.datetime):
-        spark_value = F.lit(value.isoformat(sep=" ")).cast(kind)
-    bound = value_of(t, kind, spark_value)
-    if t.kind == "bucket":
-        return folder == bound if op == "=" else None
+    folder, bound = F.col(f"`{FOLDER}{t.field}`"), value_of(t, kind, literal(value, kind))
+    exact = t.kind == "identity"
     if op == "=":
-        return folder == bound
-    if op in ("<", "<="):
-        return folder <= bound if t.kind != "identity" else (folder < bound if op == "<" else folder <= bound)
-    if op in (">", ">="):
-        return folder >= bound if t.kind != "identity" else (folder > bound if op == ">" else folder >= bound)
-    return None
+        out = folder == bound
+    elif t.kind == "bucket":
+        return None
+    elif op in ("<", "<="):
+        out = folder < bound if exact and op == "<" else folder <= bound
+    elif op in (">", ">="):
+        out = folder > bound if exact and op == ">" else folder >= bound
+    else:
+        return None
+    # an empty text is written to the folder of nulls
+    return out | folder.isNull() if isinstance(kind, (T.StringType, T.BinaryType)) and t.kind != "bucket" else out
