@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import enum
 import logging
+import re
+from collections.abc import Mapping
 
 log = logging.getLogger("lakeweave")
 
@@ -76,6 +78,12 @@ class AuthError(LakeError):
     hint = "Check the storage credentials."
 
 
+class AuthExpiredError(AuthError):
+    """An authorisation ran out; the next attempt asks for a new one."""
+
+    retryable = True
+
+
 #: Error classes of the runtime -> (category, retryable); looked up along the class's bases.
 KNOWN: dict[type[BaseException], tuple[ErrorCategory, bool]] = {
     ConnectionError: (ErrorCategory.TRANSIENT, True),
@@ -118,12 +126,50 @@ def log_error(error: BaseException, operation: str, table: str | None = None, at
     log.log(logging.WARNING if is_retryable(error) else logging.ERROR, "%s: %s", ", ".join(f"{k}={v}" for k, v in parts.items() if v is not None), error)
 
 
+#: JVM classes (by name, matched along causes and bases) -> what is raised for them.
+JVM: Mapping[str, type[Exception]] = {
+    "org.apache.hadoop.security.token.SecretManager$InvalidToken": AuthExpiredError,
+    "org.apache.hadoop.security.AccessControlException": AuthError,
+    "java.nio.file.AccessDeniedException": AuthError,
+    "javax.security.sasl.SaslException": AuthError,
+    "java.io.FileNotFoundException": FileNotFoundError,
+    "java.nio.file.NoSuchFileException": FileNotFoundError,
+    "org.apache.hadoop.fs.FileAlreadyExistsException": CommitConflictError,
+    "java.nio.file.FileAlreadyExistsException": CommitConflictError,
+    "java.net.SocketTimeoutException": StorageUnavailableError,
+    "java.net.ConnectException": StorageUnavailableError,
+    "java.net.UnknownHostException": StorageUnavailableError,
+    "java.io.InterruptedIOException": StorageUnavailableError,
+    "java.io.IOException": StorageUnavailableError,
+}
+
+
+def _jvm_error(error: BaseException) -> Exception | None:
+    """This engine's error for an exception of the JVM: that of the first class known, from the exception over its bases to its causes."""
+    thrown, text = getattr(error, "java_exception", None), str(error)
+    for _ in range(10):
+        if thrown is None:
+            return None
+        kind = thrown.getClass()
+        while kind is not None:
+            if (found := JVM.get(kind.getName())) is not None:
+                said = thrown.getMessage() or text.split("\n", 1)[0]
+                if found is StorageUnavailableError and re.search(r"\b(401|expired|ExpiredToken)\b", said):
+                    return AuthExpiredError(said)
+                if found is StorageUnavailableError and re.search(r"\b(403|AccessDenied|Forbidden)\b", said):
+                    return AuthError(said)
+                return found(said)
+            kind = kind.getSuperclass()
+        thrown = thrown.getCause()
+    return None
+
+
 def translate(error: Exception) -> Exception:
-    """A failed Spark job's own error where a guard of ours raised it."""
+    """The engine's own error for a failed Spark job or call to the JVM, where there is one."""
     text = str(error)
     for mark, kind in (("LAKEWEAVE_CAST:", CastingError), ("LAKEWEAVE_REQUIRED:", CastingError)):
         if mark in text:
             return kind(text.split(mark, 1)[1].split("\n", 1)[0].strip().rstrip('"'))
     if any(x in text for x in ("CAST_OVERFLOW", "CAST_INVALID_INPUT", "NUMERIC_VALUE_OUT_OF_RANGE", "ARITHMETIC_OVERFLOW")):
         return CastingError(text.split("\n", 1)[0])
-    return error
+    return _jvm_error(error) or error

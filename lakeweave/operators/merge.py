@@ -1,4 +1,4 @@
-"""Keyed merge, merge-on-read: hard deletes, and deletes by key applied to earlier commits."""
+"""Keyed merge, merge-on-read: deletes by key applied to earlier commits."""
 
 from __future__ import annotations
 
@@ -12,22 +12,16 @@ if TYPE_CHECKING:
     from ..store import Meta, Table
 
 
-def split_hard_deletes(df: DataFrame, marker: str | None) -> tuple[DataFrame, DataFrame | None]:
-    """(rows to keep, rows that only delete): those whose marker column is null, and not. Without the column all are kept."""
-    if not marker or marker not in df.columns:
-        return df, None
-    c = F.col(f"`{marker}`")
-    return df.where(c.isNull()), df.where(c.isNotNull())
-
-
-def apply_deletes(table: Table, meta: Meta, prune: Column | None) -> DataFrame:
-    """The current rows: a row goes if a later commit deletes its key, null keys included.
+def apply_deletes(table: Table, meta: Meta, prune: Column | None, only: set[str] | None = None) -> DataFrame:
+    """The current rows (of the commits ``only``, if given): a row goes if a later commit deletes its key, null keys included.
 
     Delete folders with the same key columns meet in one anti-join, with each key's latest delete. Commits after the last
-    delete skip the join; its data side reads only key and needed columns of the others.
+    delete skip the join; its data side reads only key and needed columns of the others. Where commits and deletes interleave, their
+    order comes from a broadcast table with a row for each commit.
     """
-    data = [p for p in meta.live if p.kind == "data"]
-    deletes = [p for p in meta.live if p.kind == "delete" and any(d.seq < p.seq for d in data)]
+    data = [p for p in meta.live if p.kind == "data" and (only is None or p.commit in only)]
+    first = min((p.seq for p in data), default=0)
+    deletes = [p for p in meta.live if p.kind == "delete" and p.seq > first]
     last = max((p.seq for p in deletes), default=0)
     old, new = [p for p in data if p.seq < last], [p for p in data if p.seq >= last]
 
@@ -35,23 +29,32 @@ def apply_deletes(table: Table, meta: Meta, prune: Column | None) -> DataFrame:
         df = table._read(meta, parts)
         return df if prune is None else df.where(prune)
 
+    def numbered(df, parts, name):
+        known = table.spark.createDataFrame([(p.commit, p.seq) for p in parts], f"commit string, {name} long")
+        return df.join(F.broadcast(known), "commit")
+
     if not old:
         return read(new)
-    seqs = {p.commit: p.seq for p in [*data, *deletes]}
-    number = lambda: F.element_at(F.create_map(*[F.lit(x) for pair in seqs.items() for x in pair]), F.col("commit"))
-    rows = read(old).withColumn("_seq", number())
+    columns = read(old[:1]).columns
+    rows = read(old)
+    mixed = max(p.seq for p in old) > min(p.seq for p in deletes)  # some commit came after some delete
+    if mixed:
+        rows = numbered(rows, old, "_seq")
     for keys in dict.fromkeys(p.keys for p in deletes):
         own = [p for p in deletes if p.keys == keys]
         types = [T.StructField(k, meta.schema[k].dataType) for k in keys]
         schema = T.StructType([*types, T.StructField("commit", T.StringType())])
         dead = table.spark.read.schema(schema).option("basePath", f"{table.path}/deletes").parquet(*[f"{table.path}/deletes/commit={p.commit}" for p in own])
+        if mixed:
+            dead = numbered(dead, own, "_dead")
         named = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
-        dead = dead.select(*named, number().alias("_dead"))
+        dead = dead.select(*named, *["_dead"] * mixed)
+        on = F.col("_seq") < F.col("_dead") if mixed else F.lit(True)
         if len(own) > 1:
-            dead = dead.groupBy(*[f"_k{i}" for i in range(len(keys))]).agg(F.max("_dead").alias("_dead"))
-        on = F.col("_seq") < F.col("_dead")
+            names = [f"_k{i}" for i in range(len(keys))]
+            dead = dead.groupBy(*names).agg(F.max("_dead").alias("_dead")) if mixed else dead.distinct()
         for i, k in enumerate(keys):
             on = on & rows[f"`{k}`"].eqNullSafe(dead[f"_k{i}"])
         rows = rows.join(dead, on, "left_anti")
-    rows = rows.drop("_seq")
+    rows = rows.select(*[F.col(f"`{c}`") for c in columns])
     return rows.unionByName(read(new)) if new else rows

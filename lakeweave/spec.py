@@ -75,6 +75,7 @@ class Config:
     register_new_tables: bool = False
     hard_delete_column: str | None = "_deleted_at"
     internal_table_prefix: str = INTERNAL
+    metadata_gzip: bool = False
     catalog_uri: str | None = None
     credential: str | None = None
     oauth2_server_uri: str | None = None

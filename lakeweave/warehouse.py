@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import logging
+import re
 import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .errors import LakeError, UndefinedTableError
+from .functions import clock
+from .plans.pruning import pushed_terms
 from .sources.files import Files, read_load_files, union_batches
 from .spec import INTERNAL, Config, TableSpec
 from .store import Result, Table
@@ -85,12 +88,13 @@ class Warehouse:
             raise UndefinedTableError(f"table {name} isn't defined in {self.config.namespace}")
         return t
 
+    def names(self) -> list[str]:
+        """Folders (or notes of folders) that may hold a table, in one listing."""
+        return self.files.names(f"{self.root}/.tables") if self.config.table_location_layout else [n for n in self.files.names(self.root) if not n.startswith(".")]
+
     def discover(self) -> list[str]:
         """Physical names of the namespace's tables: every folder with a metadata version in it."""
-        if self.config.table_location_layout:
-            known = self.files.names(f"{self.root}/.tables")
-            return [n for n in known if Table(self.spark, self.files.read(f"{self.root}/.tables/{n}"), self.config).exists()]
-        return [n for n in self.files.names(self.root) if not n.startswith(".") and Table(self.spark, f"{self.root}/{n}", self.config).exists()]
+        return [n for n in self.names() if self._physical(n).exists()]
 
     def _remember(self, name: str) -> None:
         """With a layout of its own a table can't be found by listing, so its place is noted."""
@@ -101,7 +105,7 @@ class Warehouse:
                 self.files.put_new(note, self.config.location(name))
 
     def _physical(self, physical: str) -> Table:
-        path = self.files.read(f"{self.root}/.tables/{physical}") if self.config.table_location_layout else f"{self.root}/{physical}"
+        path = self.files.read(f"{self.root}/.tables/{physical}").decode() if self.config.table_location_layout else f"{self.root}/{physical}"
         return Table(self.spark, path, self.config)
 
     def drop_storage(self) -> None:
@@ -153,7 +157,8 @@ class Warehouse:
         t = self.table(name)
         if t.exists():
             want = t.meta().schema
-            rows = rows.select(*[F.col(c).cast(want[c].dataType) if c in want.names and isinstance(want[c].dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(c) for c in rows.columns])
+            times = (T.TimestampType, T.TimestampNTZType)
+            rows = rows.select(*[clock.cast(F.col(f.name), f.dataType, want[f.name].dataType).alias(f.name) if f.name in want.names and isinstance(want[f.name].dataType, times) else F.col(f.name) for f in rows.schema])
         spec = TableSpec(name, "append", columns=_required(schema))
         self._remember(name)
         return not t.load(rows, spec, load_id).repeated
@@ -211,6 +216,10 @@ class Warehouse:
         return Dataset(self)
 
 
+#: What each view of a session shows: a table's folder and version.
+_VIEWS: dict[tuple[str, str], tuple[str, int]] = {}
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -220,7 +229,7 @@ class Dataset:
 
     def __init__(self, warehouse: Warehouse) -> None:
         self.warehouse, self.spark = warehouse, warehouse.spark
-        self._seen: dict[str, tuple[str, int]] = {}
+        self._session = self.spark._jsparkSession.sessionUUID()
 
     def __getitem__(self, name: str) -> Relation:
         return Relation(self.warehouse.load_table(name).scan())
@@ -228,19 +237,45 @@ class Dataset:
     def tables(self) -> list[str]:
         return [n for n in self.warehouse.discover() if not self.warehouse.config.is_internal(n)]
 
-    def refresh(self) -> None:
-        """Registers views for tables that are new or have changed."""
-        for name in self.warehouse.discover():
+    def refresh(self, sql: str | None = None) -> dict[str, Table]:
+        """Registers views for tables (those that ``sql`` names) that are new or have changed; returns them."""
+        words = None if sql is None else {w.lower() for w in re.findall(r"\w+", sql)}
+        found = {}
+        for name in self.warehouse.names():
+            if words is not None and not {w.lower() for w in re.findall(r"\w+", name)} <= words:
+                continue
             t = self.warehouse._physical(name)
-            version = t.versions()[-1]
-            if self._seen.get(name) != (t.path, version):
+            version = t.newest()
+            if version is None:
+                continue
+            found[name] = t
+            if _VIEWS.get((self._session, name)) != (t.path, version):
                 t.scan().createOrReplaceTempView(name)
-                self._seen[name] = (t.path, version)
+                _VIEWS[self._session, name] = (t.path, version)
+        return found
 
     def query(self, sql: str, args: Mapping[str, Any] | None = None) -> Relation:
-        """Spark SQL over the tables' names; ``args`` fills :name parameters."""
-        self.refresh()
-        return Relation(self.spark.sql(sql, args=dict(args)) if args else self.spark.sql(sql))
+        """Spark SQL over the tables' names; ``args`` fills :name parameters.
+
+        Comparisons of a partitioned table's columns with constants pick its folders: they are read off the optimised plan, so it
+        doesn't matter how the query is written, and the query is planned again over views of those folders.
+        """
+        run = lambda: self.spark.sql(sql, args=dict(args)) if args else self.spark.sql(sql)
+        tables = self.refresh(sql)
+        out = run()
+        split = {name: t for name, t in tables.items() if t.meta().spec}
+        terms = pushed_terms(out, {self.warehouse.files.qualified(f"{t.path}/data"): name for name, t in split.items()}) if split else {}
+        chosen = {name: lists for name, lists in terms.items() if lists and all(lists)}
+        if not chosen:
+            return Relation(out)
+        for name, lists in chosen.items():
+            split[name].scan(folders=lists).createOrReplaceTempView(name)
+            _VIEWS.pop((self._session, name), None)
+        try:
+            out = run()
+        finally:
+            self.refresh(sql)
+        return Relation(out)
 
 
 class Relation:
