@@ -155,7 +155,7 @@ def read_load_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
         try:
             frames.append(spark.read.parquet(p))
         except Exception as e:
-            if not any(x in str(e) for x in ("PARQUET_TYPE_ILLEGAL", "PARQUET_TYPE_NOT_SUPPORTED", "PARQUET_TYPE_NOT_RECOGNIZED", "Illegal Parquet type", "Parquet type not")):
+            if not any(x in str(e) for x in ("DECIMAL_PRECISION_EXCEEDS_MAX_PRECISION", "PARQUET_TYPE_ILLEGAL", "PARQUET_TYPE_NOT_SUPPORTED", "PARQUET_TYPE_NOT_RECOGNIZED", "Illegal Parquet type", "Parquet type not")):
                 raise
             frames.append(read_arrow(spark, p))
             plain = False

@@ -55,3 +55,96 @@ def test_values(spark):
     rows = df.select(*[p.value_of(t, df.schema[t.column].dataType).alias(f"v{i}") for i, t in enumerate(ts)]).collect()
     assert tuple(rows[0]) == (-10, Decimal("10.50"), "gla", -1, -1, -1, -1)
     assert tuple(rows[1]) == (None,) * 7
+
+
+ZONES = ("UTC", "America/New_York", "Asia/Kolkata")
+TIMES = ["2024-03-10 02:30:00.5", "2024-03-09 23:59:59.999999", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-11-03 01:30:00", "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999"]
+
+
+def test_values_do_not_depend_on_the_session(spark):
+    from lakeweave.functions import clock
+
+    got = []
+    for zone in ZONES:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.createDataFrame([(t,) for t in TIMES], "v string").select(F.col("v").cast("timestamp_ntz").alias("n"))
+            df = df.withColumn("z", clock.cast(F.col("n"), T.TimestampNTZType(), T.TimestampType()))
+            ts = [f(c) for c in "nz" for f in (p.year, p.month, p.day, p.hour, lambda c: p.bucket(1000, c))]
+            back = clock.cast(F.col("z"), T.TimestampType(), T.TimestampNTZType()).cast("string").alias("back")
+            got.append([tuple(r) for r in df.select(*[p.value_of(t, df.schema[t.column].dataType).alias(f"v{i}") for i, t in enumerate(ts)], back).collect()])
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == got[1] == got[2]
+    for text, row in zip(TIMES, got[0], strict=True):
+        at = dt.datetime.fromisoformat(text)
+        micros = (at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+        want = (at.year - 1970, (at.year - 1970) * 12 + at.month - 1, micros // 86_400_000_000, micros // 3_600_000_000)
+        assert row[:4] == row[5:9] == want and row[4] == row[9] and dt.datetime.fromisoformat(row[10]) == at
+
+
+@pytest.mark.parametrize("made", [p.identity, p.year, p.month, p.day, p.hour])
+def test_folders_of_one_zone_are_found_from_another(spark, tmp_path, made):
+    from lakeweave import Warehouse
+    from lakeweave.functions import clock
+
+    base = dt.datetime(2024, 1, 1)
+    times = [base + dt.timedelta(hours=7 * i, microseconds=i) for i in range(40)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        w = Warehouse(spark, f"file://{tmp_path}/{kind}{made.__name__}")
+        try:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            df = spark.createDataFrame([(i, str(t)) for i, t in enumerate(times)], "i int, s string").withColumn("n", F.col("s").cast("timestamp_ntz"))
+            df = df.select("i", (clock.cast(F.col("n"), T.TimestampNTZType(), T.TimestampType()) if kind == "timestamp" else F.col("n")).alias("ts"))
+            w.load(with_partitioning(TableSpec("e"), made("ts")), df.where("i < 20"), "1")
+            spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+            w.load(TableSpec("e"), df.where("i >= 20"), "2")
+            for zone in ZONES:
+                spark.conf.set("spark.sql.session.timeZone", zone)
+                for op, cut in (("<", times[9]), ("<=", times[25]), (">", times[30]), (">=", times[3]), ("=", times[21])):
+                    got = {r.i for r in w.table("e").scan(where=[("ts", op, cut)]).collect()}
+                    assert got == {i for i, t in enumerate(times) if {"<": t < cut, "<=": t <= cut, ">": t > cut, ">=": t >= cut, "=": t == cut}[op]}, (zone, kind, op)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_empty_texts_and_nulls_are_found(spark, tmp_path):
+    from lakeweave import Warehouse
+
+    w = Warehouse(spark, f"file://{tmp_path}/w")
+    df = spark.createDataFrame([("",), (None,), ("abc",), ("abd",), ("b",)], "s string")
+    for name, t in (("i", p.identity("s")), ("t", p.truncate(2, "s"))):
+        w.load(with_partitioning(TableSpec(name), t), df, "1")
+        for op, value, want in (("=", "", {""}), ("<", "abd", {"", "abc"}), (">=", "abd", {"abd", "b"}), ("<=", "abc", {"", "abc"})):
+            assert {r.s for r in w.table(name).scan(where=[("s", op, value)]).collect()} == want
+
+
+def plain_murmur(data):
+    """Murmur3 x86 32, seed 0, a byte block at a time."""
+    h, m = 0, 0xFFFFFFFF
+    rot = lambda x, r: (x << r | x >> (32 - r)) & m
+    for i in range(0, len(data) & ~3, 4):
+        h = (rot(h ^ rot(int.from_bytes(data[i : i + 4], "little") * 0xCC9E2D51 & m, 15) * 0x1B873593 & m, 13) * 5 + 0xE6546B64) & m
+    k = int.from_bytes(data[len(data) & ~3 :], "little")
+    h ^= rot(k * 0xCC9E2D51 & m, 15) * 0x1B873593 & m
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_hashes_of_texts_and_wide_decimals(spark):
+    texts = [None, "", "a", "ab", "abc", "abcd", "é" * 7, "x" * 1001, "漢字"]
+    decimals = [None, *(Decimal(x) for x in ("0", "-1", "1.27", "-1.28", "1.28", "12345678901234567890123456789012.345", "-99999999999999999999999999999999.999", "0.255", "0.256"))]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "s string").coalesce(1).select(murmur3(F.col("s"), T.StringType())).collect()]
+    assert got == [None if t is None else plain_murmur(t.encode()) for t in texts]
+    kind = T.DecimalType(38, 3)
+    got = [r[0] for r in spark.createDataFrame([(d,) for d in decimals], T.StructType([T.StructField("d", kind)])).coalesce(1).select(murmur3(F.col("d"), kind)).collect()]
+
+    def fewest(d):
+        n = int(f"{d:.3f}".replace(".", ""))
+        size = next(k for k in range(1, 17) if -(1 << (8 * k - 1)) <= n < 1 << (8 * k - 1))
+        return n.to_bytes(size, "big", signed=True)
+
+    assert got == [None if d is None else plain_murmur(fewest(d)) for d in decimals]

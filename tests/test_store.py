@@ -238,3 +238,250 @@ def test_arrow_types(spark, tmp_path):
     assert [f.dataType.simpleString() for f in read_load_files(spark, f"file://{tmp_path}/a.parquet").schema] == ["timestamp_ntz", "string", "string", "array<string>"]
     with pytest.raises(FileNotFoundError):
         read_load_files(spark, f"file://{tmp_path}/none.parquet")
+
+
+# pruning through SQL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sql_picks_folders(spark, w):
+    import datetime as dt
+
+    days = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=6 * i), "abc"[i % 3]) for i in range(80)]
+    w.load(with_partitioning(TableSpec("e"), [partition.day("ts"), partition.identity("k")]), frame(spark, days, "i int, ts timestamp_ntz, k string"), "1")
+    d = w.dataset()
+    got = d.query("SELECT i FROM e WHERE ts >= TIMESTAMP_NTZ '2024-01-05 06:00:00' AND ts < TIMESTAMP_NTZ '2024-01-06 00:00:00' AND k = 'a'")
+    assert {r[0] for r in got.fetchall()} == {i for i, t, k in days if dt.datetime(2024, 1, 5, 6) <= t < dt.datetime(2024, 1, 6) and k == "a"}
+    assert "PartitionFilters: [isnotnull(__p_ts_day" in plan_of(got.frame)
+    # a table that is read twice needs the folders of both
+    got = d.query("SELECT a.i, b.i FROM (SELECT i FROM e WHERE ts < TIMESTAMP_NTZ '2024-01-02 00:00:00') a JOIN (SELECT i FROM e WHERE :late < ts) b ON a.i + 76 = b.i", {"late": dt.datetime(2024, 1, 19, 20)})
+    assert got.frame.count() == 4
+    # nothing to prune by: an aggregate over all, an OR, a subquery
+    assert d.query("SELECT count(*) FROM e").fetchall() == [(80,)]
+    assert d.query("SELECT count(*) FROM e WHERE ts < TIMESTAMP_NTZ '2024-01-02 00:00:00' OR k = 'b'").fetchall() == [(sum(t < dt.datetime(2024, 1, 2) or k == "b" for _, t, k in days),)]
+    got = d.query("SELECT (SELECT count(*) FROM e) AS n, i FROM e WHERE ts < TIMESTAMP_NTZ '2024-01-01 12:00:00'")
+    assert sorted(got.fetchall()) == [(80, 0), (80, 1)]
+    got = d.query("WITH x AS (SELECT * FROM e WHERE k = 'c') SELECT count(*) FROM x UNION ALL SELECT count(*) FROM e WHERE k > 'a'")
+    assert sorted(got.fetchall()) == sorted([(sum(k == "c" for *_, k in days),), (sum(k > "a" for *_, k in days),)])
+    assert spark.table("e").count() == 80  # the view itself stays whole
+
+
+def test_sql_sees_new_commits_and_merges(spark, w):
+    spec = with_partitioning(TableSpec("m", "merge", primary_key=["k", "i"]), partition.identity("k"))
+    w.load(spec, frame(spark, [("a", 1, 1), ("b", 2, 2), ("b", 3, 3)], "k string, i int, v int"), "1")
+    d = w.dataset()
+    assert sorted(d.query("SELECT v FROM m WHERE k = 'b'").fetchall()) == [(2,), (3,)]
+    w.load(spec, frame(spark, [("b", 2, 20), ("c", 4, 4)], "k string, i int, v int"), "2")
+    assert sorted(d.query("SELECT v FROM m WHERE k = 'b'").fetchall()) == [(3,), (20,)]
+
+
+# many commits
+
+
+def test_metadata_stays_small_over_thousands_of_commits(spark, w):
+    import time
+
+    t = w.table("many")
+    t.evolve(frame(spark, [(1,)], "id long").schema)
+    took = []
+    for i in range(2000):
+        began = time.perf_counter()
+        assert t._commit(lambda m, i=i: t._next(m, m, f"c{i}", "append", [{"kind": "data", "keys": [], "hides": None}], load_id=f"l{i}"), f"l{i}")
+        took.append(time.perf_counter() - began)
+    middle = lambda x: sorted(x)[len(x) // 2]
+    assert middle(took[-200:]) < 4 * middle(took[100:300])
+    import os
+
+    path = t._file(t.newest()).removeprefix("file://")
+    assert os.path.getsize(path) < 300_000
+    meta = t.meta()
+    assert len(meta.snapshots) == 2001 and len(meta.live) == 2000 and meta.loaded("l7") and t._commit(lambda m: 1 / 0, "l1999") is None
+    assert len(t.meta(700).snapshots) == 700
+    from lakeweave import store
+
+    store._CHUNKS.clear()
+    store._NEWEST.clear()
+    assert t.meta().snapshots == meta.snapshots  # as another process would read it
+
+
+def test_a_merge_takes_its_keys_from_what_it_wrote(spark, w):
+    spec = TableSpec("r", "merge", primary_key="k")
+    w.load(spec, spark.range(200).selectExpr("id AS k", "'old' AS v"), "1")
+    w.load(spec, spark.range(100).selectExpr("cast(floor(rand() * 200) AS bigint) AS k", "'new' AS v"), "2")
+    got = w.table("r").scan().groupBy("k").agg(F.count_distinct("v").alias("n")).collect()
+    assert all(r.n == 1 for r in got) and len(got) == 200
+
+
+def test_deletes_rewrite_only_commits_that_match(spark, w):
+    for i in range(3):
+        w.load(TableSpec("d"), spark.range(10 * i, 10 * i + 10), f"{i}")
+    before = {p.commit for p in w.table("d").meta().live}
+    assert w.table("d").delete_where(F.col("id").between(12, 14)).inserted == 7
+    after = {p.commit for p in w.table("d").meta().live}
+    assert len(before & after) == 2 and rows(w, "d") == [(i,) for i in range(30) if not 12 <= i <= 14]
+    assert w.table("d").delete_where(F.col("id") > 1000).snapshot is None
+    w.table("d").delete_where(F.col("id") >= 10)
+    assert rows(w, "d") == [(i,) for i in range(10)] and rows(w, "d", version=3) == [(i,) for i in range(30)]
+
+
+def test_interleaved_merges_and_appends(spark, w):
+    merge, append = TableSpec("x", "merge", primary_key="k"), TableSpec("x")
+    want = {}
+    for i in range(7):
+        batch = [(k, i) for k in range(i, i + 4)]
+        w.load(merge if i % 2 else append, frame(spark, batch, "k int, v int"), f"{i}")
+        for k, v in batch:
+            want[k] = [v] if i % 2 else [*want.get(k, []), v]
+    assert rows(w, "x") == sorted((k, v) for k, many in want.items() for v in many)
+
+
+def test_expiry_and_orphans(spark, w):
+    import os
+
+    for i in range(4):
+        w.load(TableSpec("o", "replace"), spark.range(i + 1), f"{i}")
+    t = w.table("o")
+    os.makedirs(f"{t.path.removeprefix('file://')}/data/commit=lost")
+    assert [p.rsplit("/", 1)[1] for p in t.orphans()] == ["commit=lost"] and t.remove_orphans() == []
+    assert len(t.remove_orphans(older_than=0)) == 1 and t.orphans() == []
+    assert t.expire(2) == 2 and t.versions() == [3, 4] and len(t.files.names(f"{t.path}/data")) == 2
+    assert rows(w, "o") == [(i,) for i in range(4)] and rows(w, "o", version=3) == [(i,) for i in range(3)]
+    with pytest.raises(UndefinedTableError):
+        t.scan(version=1)
+    assert w.load(TableSpec("o"), spark.range(1), "0").repeated
+
+
+def test_gzip_metadata_and_unknown_formats(spark, tmp_path):
+    from lakeweave import store
+
+    path = f"{tmp_path}/z"
+    packed = Warehouse(spark, Config(f"file://{path}", metadata_gzip=True))
+    packed.load(TableSpec("t"), spark.range(3), "1")
+    file = f"{path}/default/t/metadata/v0000000001.json"
+    assert open(file, "rb").read(2) == b"\x1f\x8b"
+    plain = Warehouse(spark, Config(f"file://{path}"))
+    plain.load(TableSpec("t"), spark.range(2), "2")
+    assert packed.table("t").scan().count() == 5
+    text = open(f"{path}/default/t/metadata/v0000000002.json").read()
+    open(f"{path}/default/t/metadata/v0000000003.json", "w").write(text.replace(f'"format": {store.FORMAT}', '"format": 99'))
+    with pytest.raises(ValidationError, match="99"):
+        plain.load_table("t").scan()
+
+
+# errors of file systems
+
+
+class Thrown:
+    """What py4j hands over of a JVM exception."""
+
+    def __init__(self, *names, message="said", cause=None):
+        self.names, self.message, self.cause = names, message, cause
+
+    def getClass(self):
+        return self
+
+    def getName(self):
+        return self.names[0]
+
+    def getSuperclass(self):
+        return Thrown(*self.names[1:]) if len(self.names) > 1 else None
+
+    def getMessage(self):
+        return self.message
+
+    def getCause(self):
+        return self.cause
+
+
+@pytest.mark.parametrize("thrown, category, again", [
+    (Thrown("java.net.ConnectException", "java.net.SocketException"), ErrorCategory.SERVER, True),
+    (Thrown("own.Weird", "java.io.IOException"), ErrorCategory.SERVER, True),
+    (Thrown("java.lang.RuntimeException", cause=Thrown("java.net.SocketTimeoutException")), ErrorCategory.SERVER, True),
+    (Thrown("org.apache.hadoop.security.AccessControlException"), ErrorCategory.AUTH, False),
+    (Thrown("java.io.IOException", message="Status Code: 403, AccessDenied"), ErrorCategory.AUTH, False),
+    (Thrown("java.io.IOException", message="ExpiredToken: the token has expired"), ErrorCategory.AUTH, True),
+    (Thrown("org.apache.hadoop.security.token.SecretManager$InvalidToken"), ErrorCategory.AUTH, True),
+    (Thrown("java.io.FileNotFoundException"), ErrorCategory.CLIENT, False),
+])
+def test_jvm_errors_are_known(thrown, category, again):
+    from lakeweave.errors import translate
+
+    error = Exception("from the JVM")
+    error.java_exception = thrown
+    found = translate(error)
+    assert category_of(found) == category and is_retryable(found) == again
+    assert translate(Exception("other")).args == ("other",)
+
+
+def test_files_raise_known_errors(spark):
+    from lakeweave.sources.files import Files
+
+    with pytest.raises(FileNotFoundError):
+        Files(spark).read("file:///nowhere/at/all")
+
+
+def test_unreachable_storage_is_tried_again(spark, w, monkeypatch):
+    from lakeweave.errors import StorageUnavailableError
+
+    t, failed = w.table("s"), []
+    real = t.files.put_new
+
+    def put(path, data):
+        if len(failed) < 2:
+            failed.append(path)
+            raise StorageUnavailableError("no answer")
+        real(path, data)
+
+    monkeypatch.setattr(t.files, "put_new", put)
+    monkeypatch.setattr("time.sleep", lambda s: None)
+    from lakeweave.spec import TableSpec as Spec
+
+    assert t.load(spark.range(3), Spec("s"), "1").version == 1 and len(failed) == 2 and rows(w, "s") == [(0,), (1,), (2,)]
+
+
+def test_a_commit_of_unknown_outcome_is_looked_for(spark, w, monkeypatch):
+    from lakeweave.errors import CommitStateUnknownError
+
+    w.load(TableSpec("u"), spark.range(1), "0")
+    t = w.table("u")
+    real, calls = t.files.put_new, []
+
+    def put(path, data):
+        calls.append(path)
+        real(path, data)
+        if len(calls) == 1:
+            raise CommitStateUnknownError("the answer was lost")
+
+    monkeypatch.setattr(t.files, "put_new", put)
+    monkeypatch.setattr("time.sleep", lambda s: None)
+    assert t.load(spark.range(2), TableSpec("u")).version == 2
+    assert len(calls) == 1 and w.table("u").scan().count() == 3 and len(w.table("u").meta().snapshots) == 2
+
+
+# load files through Arrow
+
+
+def test_load_files_that_the_reader_refuses(spark, w, tmp_path):
+    import datetime as dt
+    from decimal import Decimal
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    at = dt.datetime(2024, 1, 2, 3, 4, 5)
+    table = pa.table({
+        "big": pa.array([Decimal("1" * 50), None], pa.decimal256(60, 0)),
+        "t": pa.array([dt.time(1, 2, 3), None], pa.time32("ms")),
+        "ns": pa.array([at, None], pa.timestamp("ns")),
+        "word": pa.array(["x", None]).dictionary_encode(),
+        "list": pa.array([[1, 2], None], pa.list_(pa.int32())),
+    })
+    for i in range(2):
+        pq.write_table(table, f"{tmp_path}/f{i}.parquet")
+    w.load_files(TableSpec("a"), [f"file://{tmp_path}/f{i}.parquet" for i in range(2)], "1")
+    got = w.table("a").scan().where("word = 'x'").collect()
+    assert len(got) == 2 and got[0].t.startswith("01:02:03") and got[0].big == "1" * 50 and got[0].ns == at and list(got[0].list) == [1, 2]
+    assert w.table("a").scan().where("word IS NULL AND big IS NULL AND t IS NULL AND ns IS NULL AND list IS NULL").count() == 2
