@@ -27,7 +27,7 @@ from .pretokens import Pretokens
 from .words import buffers, chunks, tidy
 
 #: Texts are encoded in slices of at most so many bytes (a longer text alone), and handed on when results come to as many.
-SLICE_BYTES = 10 << 20
+SLICE_BYTES = 6 << 20
 
 
 class RankSet:
