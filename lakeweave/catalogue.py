@@ -621,3 +621,165 @@ def csv_source(spark, sf):
     w = warehouse(spark)
     w.load(TableSpec("orders"), read_csv(spark, f"{root}/csv", "o_orderkey long, o_custkey long"), "first")
     return w.table("orders").scan()
+
+
+# tables and namespaces
+
+
+@query("SELECT count(*) FILTER (WHERE o_orderkey % 2 = 0) AS earlier, count(*) AS later FROM orders")
+def view_refresh(spark, sf):
+    """A result keeps the snapshot it was asked at; the next query sees the next one."""
+    w, o = warehouse(spark), read(spark, sf, "orders")
+    counts = []
+    for i, name in enumerate(("earlier", "later")):
+        w.load(TableSpec("orders"), o.where(F.col("o_orderkey") % 2 == i), name)
+        counts.append(w.dataset().query(f"SELECT count(*) AS {name} FROM orders").frame)
+    return counts[0].crossJoin(counts[1])  # a row each
+
+
+@query("SELECT 'nation' AS \"table\", count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region")
+def view_eligibility(spark, sf):
+    """The user's tables, without the ledger that a package leaves beside them."""
+    w, package = warehouse(spark), LoadPackage("load1")
+    for t in ("region", "nation"):
+        package.add(TableSpec(t), read(spark, sf, t))
+    w.complete(package)
+    return _counts(w)
+
+
+def _counts(w: Warehouse) -> DataFrame:
+    """(table, n) of each table that the dataset shows."""
+    parts = [w.dataset()[t].frame.agg(F.lit(t).alias("table"), F.count("*").alias("n")) for t in w.dataset().tables()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+def relation_arrow(spark, sf):
+    w = warehouse(spark)
+    w.load(TableSpec("nation"), read(spark, sf, "nation"), "first")
+    return spark.createDataFrame(w.dataset()["nation"].where("n_regionkey = 1").select("n_nationkey", "n_name").arrow())
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 10")
+def scan_equality(spark, sf):
+    w = warehouse(spark)
+    w.load(with_partitioning(TableSpec("lineitem"), [p.identity("l_returnflag")]), read(spark, sf, "lineitem"), "first")
+    return w.table("lineitem").scan(columns=["l_orderkey", "l_linenumber"], where=[("l_returnflag", "=", "R"), ("l_quantity", ">=", 10)])
+
+
+@query("SELECT 'customer' AS \"table\", count(*) AS n FROM customer UNION ALL SELECT 'region', count(*) FROM region")
+def drop_named(spark, sf):
+    """One of three tables goes, and one that was never there."""
+    w = warehouse(spark)
+    for t in ("region", "nation", "customer"):
+        w.load(TableSpec(t), read(spark, sf, t), "first")
+    w.drop_tables("nation", "part")
+    return _counts(w)
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def drop_all_reload(spark, sf):
+    """Nothing of a dropped table is left, its known loads included."""
+    w, o = warehouse(spark), read(spark, sf, "orders")
+    w.load(TableSpec("orders"), o.where("o_orderstatus <> 'F'"), "first")
+    w.drop_storage()
+    w.load(TableSpec("orders"), o.where("o_orderstatus = 'F'"), "first")
+    return w.table("orders").scan()
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def register_existing(spark, sf):
+    """Another warehouse on the same folder finds the tables that are there."""
+    w = warehouse(spark)
+    w.load(TableSpec("supplier"), read(spark, sf, "supplier"), "first")
+    with Warehouse(spark, Config(w.config.warehouse, register_new_tables=True)) as other:
+        other.initialize_storage()
+        return other.dataset().query("SELECT s_suppkey, s_name FROM supplier").frame
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS namespace FROM orders")
+def namespaces_apart(spark, sf):
+    """Tables of one name in two namespaces of a warehouse."""
+    o, root, parts = read(spark, sf, "orders"), scratch(spark), []
+    for i, name in enumerate(("even", "odd")):
+        w = Warehouse(spark, Config(root, namespace=name))
+        w.initialize_storage()
+        w.load(TableSpec("orders"), o.where(F.col("o_orderkey") % 2 == i), "first")
+        parts.append(w)
+    even, odd = (w.dataset()["orders"].frame.select("o_orderkey", F.lit(w.config.namespace).alias("namespace")) for w in parts)
+    return even.union(odd)
+
+
+@query("SELECT p_partkey, p_brand, true AS placed FROM part")
+def location_layout(spark, sf):
+    """Tables stand where the layout says and are found there."""
+    w = warehouse(spark, table_location_layout="placed/{namespace}/{table_name}-data")
+    w.load(TableSpec("part"), read(spark, sf, "part"), "first")
+    rows = w.dataset()["part"].frame
+    return rows.select("p_partkey", "p_brand", F.col("_metadata.file_path").contains("/placed/default/part-data/").alias("placed"))
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def evolve_drop_column(spark, sf):
+    w, n = warehouse(spark), read(spark, sf, "nation")
+    w.load(TableSpec("nation"), n, "first")
+    t = w.table("nation")
+    t.evolve(n.select("n_nationkey", "n_name").schema, allow_drops=True)
+    return t.scan()
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus <> 'P'")
+def expire_then_scan(spark, sf):
+    """Old versions and their folders go; the newest version's rows stay."""
+    w, o = warehouse(spark), read(spark, sf, "orders")
+    for i in range(3):
+        w.load(TableSpec("orders"), o.where(F.col("o_orderkey") % 3 == i), f"load{i}")
+    t = w.table("orders")
+    t.delete_where(F.col("o_orderstatus") == "P")
+    t.compact()
+    t.expire(1)
+    t.remove_orphans(0)
+    return t.scan()
+
+
+@query("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(20,4)) AS price FROM orders")
+def cast_decimal_widen(spark, sf):
+    target = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("price", T.DecimalType(20, 4))])
+    return casting.cast_frame(read(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price")), target)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def cast_string_parse(spark, sf):
+    """Numbers that stand as texts, checked one by one."""
+    o = read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"))
+    target = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType())])
+    return casting.cast_frame(o, target, strict=False)
+
+
+@query("SELECT 'h2' AS version_hash, CAST(2 AS BIGINT) AS version UNION ALL SELECT 'h1', CAST(1 AS BIGINT)")
+def schema_by_hash(spark, sf):
+    w = warehouse(spark)
+    for i in (1, 2, 3):
+        w.store_schema("s", i, f"h{i}", {"tables": i})
+    found = [w.stored_schema_by_hash(h) for h in ("h2", "h1", "none")]
+    return spark.createDataFrame([(f["version_hash"], f["version"]) for f in found if f], "version_hash string, version long")
+
+
+@query("SELECT CAST(d AS DATE) AS day, CAST(date_diff('day', DATE '2024-01-01', CAST(d AS DATE)) AS BIGINT) AS n FROM generate_series(TIMESTAMP '2024-01-05', TIMESTAMP '2024-04-02', INTERVAL 1 DAY) AS t(d)")
+def span_source(spark, sf):
+    """A service with a row for each day, which answers ten days at most."""
+    import datetime as dt
+
+    from .sources.ranged import TooMuch, months, read_spans
+
+    def fetch(a, b):
+        if (b - a).days > 10:
+            raise TooMuch
+        days = [a + dt.timedelta(days=i) for i in range((b - a).days)]
+        return [{"day": d, "n": (d - dt.date(2024, 1, 1)).days} for d in days]
+
+    schema = T.StructType([T.StructField("day", T.DateType()), T.StructField("n", T.LongType())])
+    return read_spans(spark, months(dt.date(2024, 1, 5), dt.date(2024, 4, 3)), fetch, schema)
