@@ -20,7 +20,7 @@ from .functions import clock
 from .operators.relational import asof_join, groups_frame, qualify
 from .plans import partitioning as p
 from .spec import Config, TableSpec, with_partitioning
-from .streaming.sink import write_stream
+from .streaming.sink import load_batch, write_stream
 from .warehouse import LoadPackage, Warehouse
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -783,3 +783,63 @@ def span_source(spark, sf):
 
     schema = T.StructType([T.StructField("day", T.DateType()), T.StructField("n", T.LongType())])
     return read_spans(spark, months(dt.date(2024, 1, 5), dt.date(2024, 4, 3)), fetch, schema)
+
+
+@query("SELECT n_nationkey, CAST(n_nationkey AS VARCHAR) AS wide, TIMESTAMP '2024-01-01' + n_nationkey * INTERVAL 1 SECOND AS at FROM nation")
+def load_file_arrow_types(spark, sf):
+    """A load file with types that Spark's reader refuses: nanoseconds and a 256-bit decimal."""
+    import io
+    from decimal import Decimal
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    keys = [r[0] for r in read(spark, sf, "nation").select("n_nationkey").collect()]
+    start = 1_704_067_200
+    table = pa.table({
+        "n_nationkey": pa.array(keys, pa.int64()),
+        "wide": pa.array([Decimal(k) for k in keys], pa.decimal256(60, 0)),
+        "at": pa.array([(start + k) * 1_000_000_000 for k in keys], pa.timestamp("ns")),
+    })
+    out = io.BytesIO()
+    pq.write_table(table, out)
+    w, path = warehouse(spark), f"{scratch(spark)}/in"
+    w.files.make(path)
+    w.files.put_new(f"{path}/nation.parquet", out.getvalue())
+    w.load_files(TableSpec("nation"), f"{path}/nation.parquet", "first")
+    return w.table("nation").scan()
+
+
+@query("SELECT * FROM orders")
+def concurrent_appends(spark, sf):
+    """Four writers at once: each commit that loses the race is tried again on the version that won."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    w, o = warehouse(spark, max_retries=10, retry_backoff_base=1.1), read(spark, sf, "orders")
+    w.load(TableSpec("orders"), o.where("o_orderkey % 5 = 4"), "load4")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: w.load(TableSpec("orders"), o.where(F.col("o_orderkey") % 5 == i), f"load{i}"), range(4)))
+    return w.table("orders").scan()
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN DATE '2024-01-01' ELSE DATE '2024-02-01' END AS seen FROM customer")
+def stream_last_committed_wins(spark, sf):
+    """A later micro-batch with older rows replaces newer ones; replayed, it changes nothing."""
+    w, c = warehouse(spark), read(spark, sf, "customer").select("c_custkey")
+    spec = TableSpec("customer", "merge", primary_key="c_custkey")
+    newer, older = (c.withColumn("seen", F.lit(day).cast("date")) for day in ("2024-02-01", "2024-01-01"))
+    for batch, i in ((newer, 0), (older.where("c_custkey % 2 = 0"), 1), (newer, 0)):
+        load_batch(w, spec, "customers", batch, i)
+    return w.table("customer").scan()
+
+
+@query("SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region")
+def load_rows_and_tables(spark, sf):
+    """Batches as dicts, as an Arrow table, as a pandas frame and as a path."""
+    r = read(spark, sf, "region").select(F.col("r_regionkey").cast("long").alias("r_regionkey"), "r_name")
+    w, spec, path = warehouse(spark), TableSpec("region"), f"{scratch(spark)}/region"
+    r.where("r_regionkey = 3").write.parquet(path)
+    first = [x.asDict() for x in r.where("r_regionkey < 2").collect()]
+    for i, batch in enumerate([first, r.where("r_regionkey = 2").toArrow(), path, {"region": r.where("r_regionkey > 3").toPandas()}]):
+        w.load(spec, batch, f"load{i}")
+    return w.table("region").scan()

@@ -7,7 +7,8 @@ import logging
 import os
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -206,6 +207,30 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def as_frame(spark: SparkSession, data: Any) -> DataFrame:
+    """One table's rows as a DataFrame: a DataFrame itself, the path of Parquet files, an Arrow table, a pandas frame, or rows as dicts (a
+    missing field is null). A mapping counts as its only entry; with several it is several tables, which is an error.
+    """
+    if isinstance(data, DataFrame):
+        return data
+    if isinstance(data, Mapping):
+        if len(data) != 1:
+            raise ValidationError(f"one table's rows are needed, not those of {len(data)}: {', '.join(map(str, data))}")
+        return as_frame(spark, next(iter(data.values())))
+    if isinstance(data, (str, os.PathLike)):
+        return read_load_files(spark, os.fspath(data))
+    import pandas as pd
+    import pyarrow as pa
+
+    if isinstance(data, pa.Table):
+        return spark.createDataFrame(normalise_arrow(data))
+    if isinstance(data, pd.DataFrame):
+        return spark.createDataFrame(data)
+    if not data:
+        raise ValidationError("rows without a single one have no columns; give a DataFrame with a schema")
+    return spark.createDataFrame(data)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
 

@@ -7,7 +7,7 @@ import json
 import logging
 import re
 import threading
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .errors import LakeError, UndefinedTableError
 from .functions import clock
 from .plans.pruning import pushed_terms
-from .sources.files import Files, read_load_files, union_batches
+from .sources.files import Files, as_frame, read_load_files, union_batches
 from .spec import INTERNAL, Config, TableSpec
 from .store import Result, Table
 from .types import comment, to_logical
@@ -123,9 +123,11 @@ class Warehouse:
 
     # loads
 
-    def load(self, spec: TableSpec, batches: DataFrame | Sequence[DataFrame], load_id: str | None = None) -> Result:
-        """All batches of a table as one snapshot."""
-        many = [batches] if isinstance(batches, DataFrame) else list(batches)
+    def load(self, spec: TableSpec, batches: Any, load_id: str | None = None) -> Result:
+        """All batches of a table as one snapshot: a sequence of DataFrames, or one batch in any form that ``as_frame`` takes."""
+        batches = list(batches) if isinstance(batches, Iterator) else batches
+        several = isinstance(batches, Sequence) and len(batches) and all(isinstance(b, DataFrame) for b in batches)
+        many = list(batches) if several else [as_frame(self.spark, batches)]
         self._remember(spec.name)
         return self.table(spec.name).load(union_batches(many), spec, load_id)
 

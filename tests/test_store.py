@@ -485,3 +485,23 @@ def test_load_files_that_the_reader_refuses(spark, w, tmp_path):
     got = w.table("a").scan().where("word = 'x'").collect()
     assert len(got) == 2 and got[0].t.startswith("01:02:03") and got[0].big == "1" * 50 and got[0].ns == at and list(got[0].list) == [1, 2]
     assert w.table("a").scan().where("word IS NULL AND big IS NULL AND t IS NULL AND ns IS NULL AND list IS NULL").count() == 2
+
+
+def test_batches_in_other_forms(spark, w, tmp_path):
+    import pandas as pd
+    import pyarrow as pa
+
+    spec = TableSpec("e")
+    frame(spark, [(4, "path")], "id long, t string").write.parquet(f"{tmp_path}/in")
+    forms = [[{"id": 1, "t": "dict"}, {"id": 2}], pa.table({"id": [3], "t": ["arrow"]}), f"{tmp_path}/in", {"e": pd.DataFrame({"id": [5], "t": ["pandas"]})}]
+    for i, form in enumerate(forms):
+        w.load(spec, form, f"l{i}")
+    w.load(spec, (frame(spark, [(n, "many")], "id long, t string") for n in (6, 7)), "l9")
+    assert rows(w, "e") == [(1, "dict"), (2, None), (3, "arrow"), (4, "path"), (5, "pandas"), (6, "many"), (7, "many")]
+    assert len(w.table("e").meta().snapshots) == 5
+
+
+@pytest.mark.parametrize("batches", [{"a": [{"id": 1}], "b": [{"id": 2}]}, {}, []])
+def test_batches_of_no_or_several_tables(w, batches):
+    with pytest.raises(ValueError):
+        w.load(TableSpec("e"), batches)
