@@ -330,13 +330,15 @@ def spanned(placed: DataFrame, sizes: DataFrame, about: DataFrame | None, work:
 
     placed: grp, node and the members' other columns, or those in ``about`` by node. sizes: grp, members, blocks of the groups
     that count. ``about`` is joined after ``sizes``, so that members of no such group don't carry it along.
+
+    Joins of two tables that both grow are shuffled (``merge``); Spark's estimates would have it broadcast exploded members.
     """
     numbers = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     of = lambda word, n: F.pmod(F.xxhash64(F.lit(word), "node"), F.col(n))
 
     def gather(groups: DataFrame) -> DataFrame:
         m = by_key(placed, groups, "grp", "members")
-        return (m if about is None else m.join(about, "node")).withColumn("_block", of("block", "blocks"))
+        return (m if about is None else m.join(about.hint("merge"), "node")).withColumn("_block", of("block", "blocks"))
 
     draw = F.pmod(F.xxhash64(F.lit("pivot"), "node"), F.lit(1 << 30)) / float(1 << 30)
     m = gather(sizes).withColumn("pivot", (F.col("blocks") > 1) & (draw < F.lit(float(PIVOTS)) / F.col("members")))
@@ -345,10 +347,11 @@ def spanned(placed: DataFrame, sizes: DataFrame, about: DataFrame | None, work:
     first = work.put(m.repartition("grp", "block").sortWithinPartitions("grp", "block").mapInArrow(_inside, SPANNED), f"{name}-inside")
     links, left = first.where("b is not null").select("a", "b"), first.where("b is null").select("grp", F.col("a").alias("node"), "label", F.lit(True).alias("asks"))
     asked = left.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("parts"))
+    asked = work.put(sizes.join(asked.hint("merge"), "grp"), f"{name}-asked")
     if asked.isEmpty():
         return links
     # members without a tree in common with the other blocks meet all of them; the others hang together (label -1)
-    m = gather(sizes.join(asked, "grp")).join(left, ["grp", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    m = gather(asked).join(left.hint("merge"), ["grp", "node"], "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
     m = m.withColumn("label", F.when(F.col("asks"), F.col("label")).otherwise(-1)).drop("members")
     there = m.withColumn("part", F.explode(numbers("parts"))).withColumn("block", F.col("_block")).withColumn("asks", F.lit(False))
     going = m.where("asks").withColumn("part", of("part", "parts")).withColumn("block", F.explode(numbers("blocks")))
@@ -392,14 +395,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, block: int, group_memb
     shared = held.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1").withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("long"))
     shared = work.put(shared, "shared")
     groups = components(spanned(held, shared, classes.select("node", "n", "sketch"), work, "near", block), work, "groups")
-    members = classes.join(groups, "node").select(F.col("component").alias("grp"), "node", "n", "sketch", "print", F.col("row.id").alias("id"), F.col("row.mark").alias("mark"))
+    members = classes.join(groups.hint("merge"), "node").select(F.col("component").alias("grp"), "node", "n", "sketch", "print", F.col("row.id").alias("id"), F.col("row.mark").alias("mark"))
     members = work.put(members, "members").withColumnsRenamed({"id": "_id", "mark": "_mark"})
-    full = texts.join(members, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text", "print", "grp", "node", "n", "sketch")
+    full = texts.join(members.hint("merge"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text", "print", "grp", "node", "n", "sketch")
     sets = work.put(full.mapInArrow(_sets, "grp long, node long, n long, sketch binary, words binary"), "sets")
     blocks = F.greatest(F.ceil(F.count("*") / F.lit(group_members)), F.ceil(F.sum("n") / F.lit(group_words)))
     sizes = work.put(sets.groupBy("grp").agg(F.count("*").alias("members"), blocks.cast("long").alias("blocks")), "sizes")
     links = components(spanned(sets, sizes, None, work, "links", group_members), work, "links")
-    known = classes.select("print", "copies", "node", "least").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = classes.select("print", "copies", "node", "least").join(links.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("least").alias("to"), F.count("*").alias("_classes"))
     known = by_key(known.select("print", "copies", "component"), work.put(least, "least"), "component", "_classes")
     known = work.put(known.select("print", "copies", F.col("to").alias("component"), F.col("component").alias("grp")), "known")
@@ -434,7 +437,7 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     picked = some.groupBy("grp").agg(row).select("row.id", "row.mark", "row.many")
     blank = rows.where("n = 0").select("id", "mark", F.lit(1).cast("long").alias("many")).distinct()
     picked = Workspace(docs.sparkSession).put(picked.union(blank).toDF(id_, mark, many), "picked")
-    met = docs.withColumn(own, mark_of(F.col(text_col))).join(picked, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(mark)))
+    met = docs.withColumn(own, mark_of(F.col(text_col))).join(picked.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(mark)))
     if picked.where(F.col(many) > 1).isEmpty():
         return met.select(*docs.columns)
     return met.where(F.col(many) == 1).select(*docs.columns).unionByName(met.where(F.col(many) > 1).dropDuplicates([id_, mark]).select(*docs.columns))

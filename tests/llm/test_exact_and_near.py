@@ -5,7 +5,7 @@ import pytest
 from helpers import lower, rows, shingles, table, thue_morse
 from pyspark.sql import functions as F
 
-from lakeweave.llm import exact_dedup, near_dedup
+from lakeweave.llm import common, exact_dedup, near_dedup
 from lakeweave.llm.common import Workspace
 from lakeweave.llm.components import components
 
@@ -172,6 +172,27 @@ def test_components(spark):
     assert found == {i: 0 for i in range(31)} | {100: 100, 101: 100, 103: 100}
 
 
+def test_components_by_steps_and_in_one_task(spark):
+    links = spark.createDataFrame([(i, i * 7 % 101) for i in range(90)] + [(500, 400), (400, 500), (9, 9)], "a long, b long")
+    ways = [sorted(map(tuple, components(links, Workspace(spark), few=few).collect())) for few in (0, 10**6)]
+    assert ways[0] == ways[1] and len({c for _, c in ways[0]}) > 2
+    assert components(links.where("a = b"), Workspace(spark)).collect() == []
+
+
+def test_what_grows_is_not_broadcast_by_estimate(spark, monkeypatch):
+    """Spark takes an exploded table for as small as the file it was read from."""
+    plans, put = [], Workspace.put
+    monkeypatch.setattr(common, "HOT", 1)
+    monkeypatch.setattr(Workspace, "put", lambda self, df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), put(self, df, name))[1])
+    data = rows() + [(1000 + i, f"{i % 9} " + " ".join(f"x{(i // 30) * 1000 + j}" for j in range(80)), "s") for i in range(90)]
+    got = near_dedup.near_groups(table(spark, data), block=8, group_members=8)
+    plans.append(("groups", got._jdf.queryExecution().executedPlan().toString()))
+    assert sorted(map(tuple, got.collect()), key=str) == expected_groups(data)
+    components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"), Workspace(spark), few=0).collect()
+    near_dedup.drop_near(table(spark, data)).collect()
+    assert [n for n, p in plans if "BroadcastHashJoin" in p] == [] and sum("SortMergeJoin" in p for _, p in plans) > 5
+
+
 def test_links_of_low_estimate_are_kept(spark):
     import random
 
