@@ -142,6 +142,37 @@ def test_fitting_is_bounded_by_rows_and_words_and_takes_repeats(spark, monkeypat
     assert seen and all(words <= 600 for _, words in seen)
 
 
+def test_fitting_takes_every_labelled_row(spark, monkeypatch):
+    data = [(i + 1000 * k, *x) for k in range(19) for i, *x in labelled() if i < 400]  # more than one task's rows and 3,000 of a class
+    docs, kinds = table(spark, [x[:3] for x in data] + [x[:3] for x in labelled() if x[0] >= 400]), "doc_id long, toxic int"
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in data] + [(10**6, 1), (None, 0)], kinds)
+    seen, real = [], toxicity.fit_sharded
+    monkeypatch.setattr(toxicity, "fit_sharded", lambda made, sizes, tasks: seen.append((made.count(), sum(n for n, _ in sizes.values()), tasks)) or real(made, sizes, tasks))
+    models = [toxicity.fit(spark, docs, labels) for _ in range(2)]
+    assert seen == [(len(data), len(data), 2)] * 2 and len(data) > 6000
+    assert all((getattr(models[0], x) == getattr(models[1], x)).all() for x in ("project", "bias", "weight", "called"))
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, models[0]).collect()}
+    rest = [got[i] == y for i, _, _, y in labelled() if i >= 400]
+    assert sum(rest) / len(rest) > 0.95
+    # ids of another type, none of which the bitmap may lose
+    known = labels.where("doc_id is not null").selectExpr("cast(doc_id as string) _id", "toxic y")
+    made = toxicity.labelled_features(docs.selectExpr("cast(doc_id as string) doc_id", "text"), known, 10, "doc_id", "text")
+    assert made.count() == len(data)
+
+
+def test_fitting_with_one_class_in_a_half(spark):
+    rows = [(i, int(i in (1, 3)), 3, 0, np.full((3, 3), 5 + 90 * (i in (1, 3)), np.uint16).tobytes()) for i in range(40)]
+    made = spark.createDataFrame([(i, y, n, lang, bytearray(b)) for i, y, n, lang, b in rows], "id long, y int, size long, lang int, buckets binary")
+    model = toxicity.fit_sharded(made, {(0, 0): (20, 60), (0, 1): (18, 54), (1, 1): (2, 6)}, 2)
+    assert np.isfinite(model.project).all() and np.isfinite(model.called).all()
+
+
+def test_batches_end_at_their_words():
+    docs = [np.zeros((n, 3), np.int32) for n in (10, toxicity.BATCH_WORDS + 1, 10, 10, toxicity.BATCH_WORDS - 15)]
+    assert [x.tolist() for x in toxicity.parts(np.arange(5), docs)] == [[0], [1], [2, 3], [4]]
+    assert [len(x) for x in toxicity.parts(np.arange(130), [docs[0]] * 130)] == [64, 64, 2]
+
+
 def test_calibration_cuts_in_the_gap():
     x, y = np.array([0.1, 0.2, 3.0, 5.0]), np.array([0, 0, 1, 1])
     assert toxicity.calibrate(x, y, np.ones(4)) == pytest.approx(1.6)
