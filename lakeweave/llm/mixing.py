@@ -10,6 +10,9 @@
   the drawn slots fall short of the target (their number is off by the points' discrepancy, a few slots), the
   missing ranks follow at the schedule's end.
 * Slots and the blocks' pieces of documents are joined on (source, block).
+
+Only tables with a row for each source or cell are broadcast, up to BROADCAST_SOURCES sources. What grows with the documents is
+joined by a shuffle (``merge``); Spark's estimates would have the driver broadcast exploded pieces.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ WEIGHTS, SHARE, REPEATS, BLOCK_WORDS = (3, 1, 2), 1.5, 2, 1024
 GOLDEN, GOLDEN_20 = 0.6180339887498949, 0.6077874097403709
 #: Cells of the unit interval on which points and the sources' stretches are matched.
 CELLS = 1 << 16
-#: Up to so many sources the table of targets (a row for each source, under 100 bytes) is broadcast.
+#: Up to so many sources tables with a row for each source (under 100 bytes), and that of cells (CELLS more), are broadcast.
 BROADCAST_SOURCES = 20_000
 
 
@@ -57,7 +60,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 
 def _small(goals: DataFrame, sources: int) -> DataFrame:
-    return F.broadcast(goals) if sources <= BROADCAST_SOURCES else goals
+    return F.broadcast(goals) if sources <= BROADCAST_SOURCES else goals.hint("merge")
 
 
 def schedule(goals: DataFrame, sources: int, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -72,13 +75,13 @@ def schedule(goals: DataFrame, sources: int, block_words: int = BLOCK_WORDS) ->
     high = F.floor(i / float(1 << 20))
     point = (high * F.lit(GOLDEN_20) + (i - high * float(1 << 20)) * F.lit(GOLDEN)) % F.lit(1.0)
     drawn = spark.range(slots).withColumnRenamed("id", "slot").withColumn("_point", point).withColumn("_cell", F.floor(F.col("_point") * CELLS))
-    drawn = drawn.join(cells, "_cell").where((F.col("_point") >= F.col("_from")) & (F.col("_point") < F.col("_to"))).select("slot", "_no")
+    drawn = drawn.join(_small(cells, sources), "_cell").where((F.col("_point") >= F.col("_from")) & (F.col("_point") < F.col("_to"))).select("slot", "_no")
     drawn = drawn.withColumn("_key", F.shiftleft("slot", 63 - max(slots, 1).bit_length()))
-    drawn = running_start(drawn, ["_no"], "_key", [], F.lit(1), "rank").select("slot", "_no", "rank")
+    drawn = Workspace(spark).put(running_start(drawn, ["_no"], "_key", [], F.lit(1), "rank").select("slot", "_no", "rank"), "drawn")
     size, quota = F.col("source_size"), F.col("quota")
     need = goals.where("quota > 0").withColumn("_blocks", F.ceil(size / block_words)).withColumn("_ranks", F.floor(quota / size) * F.col("_blocks") + F.ceil((quota % size) / block_words))
     have = drawn.groupBy("_no").agg(F.count("*").alias("_have"))
-    missing = need.join(have, "_no", "left").select("_no", "_ranks", F.coalesce("_have", F.lit(0)).alias("_have")).where("_have < _ranks")
+    missing = need.join(_small(have, sources), "_no", "left").select("_no", "_ranks", F.coalesce("_have", F.lit(0)).alias("_have")).where("_have < _ranks")
     missing = missing.select(F.lit(slots).cast("long").alias("slot"), "_no", F.explode(F.sequence("_have", F.col("_ranks") - 1)).alias("rank"))
     s = drawn.unionByName(missing).join(_small(need, sources), "_no")
     s = s.withColumn("block", F.col("rank") % F.col("_blocks"))
@@ -111,7 +114,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pieces = rows.where("size > 0").select("_no", "_id", "_start", "size", block.alias("block"))
     at = F.col("block") * block_words
     pieces = pieces.withColumn("_from", F.greatest(F.col("_start") - at, F.lit(0))).withColumn("_upto", F.least(F.col("_start") + F.col("size") - at, F.lit(block_words)))
-    met = schedule(goals, sources, block_words).join(pieces, ["_no", "block"]).withColumn("words", F.least("_upto", "take") - F.col("_from")).where("words > 0")
+    met = schedule(goals, sources, block_words).join(pieces.hint("merge"), ["_no", "block"]).withColumn("words", F.least("_upto", "take") - F.col("_from")).where("words > 0")
     return rows, met.select("slot", "rank", "block", "_no", "_id", "_start", (F.col("_from") + F.col("block") * block_words - F.col("_start")).alias("first_word"), "words")
 
 
@@ -119,8 +122,9 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row for each row of ``docs``: id, size, source_size, target of its source, taken (words in the mix)."""
     rows, pieces = mix(docs, id_col, text_col, source_col, **how)
     taken = pieces.groupBy("_no", "_start").agg(F.sum("words").alias("taken"))
-    rows = rows.withColumn("_at", F.when(F.col("size") > 0, F.col("_start")))  # rows without words share a start
-    rows = rows.join(taken.withColumnRenamed("_start", "_at"), ["_no", "_at"], "left")
+    # rows without words share a start; they meet no pieces, and are spread over the tasks
+    rows = rows.withColumn("_at", F.when(F.col("size") > 0, F.col("_start")).otherwise(-1 - F.pmod(F.col("_key"), F.lit(1 << 30))))
+    rows = rows.join(taken.withColumnRenamed("_start", "_at").hint("merge"), ["_no", "_at"], "left")
     return rows.select(F.col("_id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -135,7 +139,7 @@ def mixed_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     decided = decided.groupBy(F.col(id_col).alias(own)).agg(F.sum("size").alias("_size"), F.sum("taken").alias("_taken"))
     times = F.when(F.col("_size") == 0, 1).otherwise(F.floor(F.col("_taken") / F.col("_size") + 0.5))
     decided = decided.select(own, times.cast("int").alias(copies)).where(F.col(copies) > 0)
-    met = docs.join(decided, F.col(id_col).eqNullSafe(F.col(own)))
+    met = docs.join(decided.hint("merge"), F.col(id_col).eqNullSafe(F.col(own)))
     return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 

@@ -5,6 +5,7 @@ import pytest
 from helpers import WORD, rows, table
 
 from lakeweave.llm import mixing, sharding
+from lakeweave.llm.common import Workspace
 
 
 def expected_targets(sizes, weights=(3, 1, 2), share=1.5, repeats=2):
@@ -71,6 +72,23 @@ def test_copies_come_near_the_targets(spark):
     assert all(abs(kept[s] - want[s]) <= 0.05 * want[s] + 60 for s in want)
 
 
+def test_what_grows_is_not_broadcast_by_estimate(spark, monkeypatch):
+    """Without the tables of sources no join of the mix goes by what Spark estimates, and the mix is the same."""
+    plans, put = [], Workspace.put
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    data = rows() + [(1000 + i, None if i % 3 else " ".join(["w"] * i), "s" if i % 5 else None) for i in range(60)]
+    want = sorted(map(tuple, mixing.mixed_copies(table(spark, data), block_words=16).collect()), key=str)
+    sized = sorted(map(tuple, mixing.mix_documents(table(spark, data), block_words=16).collect()), key=str)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(Workspace, "put", lambda self, df, name: (plans.append((name, plan(df))), put(self, df, name))[1])
+    got = mixing.mixed_copies(table(spark, data), block_words=16)
+    plans.append(("copies", plan(got)))
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    assert sorted(map(tuple, mixing.mix_documents(table(spark, data), block_words=16).collect()), key=str) == sized
+    plans.append(("slots", plan(sharding.shard_documents(table(spark, data)))))
+    assert [n for n, p in plans if "BroadcastHashJoin" in p] == [] and sum("SortMergeJoin" in p for _, p in plans) > 3
+
+
 def plain_winner(key, children):
     """The child with the least -ln(u) / weight, u from the hash of key and name as Spark chains them."""
     import math
